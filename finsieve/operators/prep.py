@@ -123,17 +123,3 @@ def preprocessing(scale: bool = False, drop: Sequence[str] = ()) -> Pipeline:
         inputs += [*nums, *flags]
     return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features")])
 
-
-def scaling_parameters(train: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES) -> dict[str, tuple[float, float]]:
-    """Mean and sample deviation per column, from the train fold."""
-    row = train.agg(*[f(F.col(c).cast("double")).alias(f"{n}_{c}") for c in columns
-                      for n, f in (("m", F.avg), ("s", F.stddev_samp))]).first()
-    return {c: (row[f"m_{c}"], row[f"s_{c}"]) for c in columns}
-
-
-def scale_numeric(df: DataFrame, parameters: dict[str, tuple[float, float]]) -> DataFrame:
-    """Add ``<column>_scaled``; a constant column becomes 0."""
-    return df.withColumns({
-        f"{c}_scaled": (F.col(c) - F.lit(mean)) / F.lit(std) if std else F.lit(0.0)
-        for c, (mean, std) in parameters.items()
-    })

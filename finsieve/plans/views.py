@@ -108,6 +108,7 @@ def rule_terms(rule: str) -> dict[str, F.Column]:
     noise = F.instr(F.lit("0123456789abcdef"), F.substring(F.md5(F.concat(F.lit("j"), F.col("row_id").cast("string"))), 1, 1)) - 1
     return {
         "payment_format": F.when(F.col("payment_format").isin(*RISKY_FORMATS), w_fmt).otherwise(0),
+        "amount_paid": F.lit(0),
         "is_business_hours": w_hr * F.col("is_business_hours"),
         "same_account": w_same * (1 - F.col("same_account")),
         "sender_previous_tx_count": w_prev * F.least(F.col("sender_previous_tx_count"), F.lit(5)),
