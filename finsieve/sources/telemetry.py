@@ -70,12 +70,15 @@ def output_envelope(cid: Column) -> Column:
 def emit(scored: DataFrame, path: str, rate: float = 1.0, mode: str = "append") -> None:
     """Append scored rows as paired collections, rolled by event hour.
 
-    Sampling is by id, so both records of a request are kept or neither is.
+    Sampling is by id, so both records of a request are kept or neither is. Rows are
+    rebalanced by hour: quiet hours share a task and a busy hour is split over several.
     """
     cid = correlation_id()
     if rate < 1.0:
         scored = scored.filter(F.substring(cid, 1, 8) < F.lit(f"{round(rate * 0x1_0000_0000):08x}"))
-    rolled = scored.withColumns({"event_date": F.to_date("ts"), "event_hour": F.hour("ts")})
+    rolled = scored.withColumns({"event_date": F.to_date("ts"), "event_hour": F.hour("ts")}).hint(
+        "rebalance", "event_date", "event_hour"
+    )
     for collection, envelope in zip(COLLECTIONS, (input_envelope, output_envelope)):
         rolled.select(envelope(cid).alias("value"), "event_date", "event_hour").write.mode(mode).partitionBy(
             "event_date", "event_hour"

@@ -141,3 +141,28 @@ def prior_count_stream(payments: DataFrame, state: PriorCountState, checkpoint:
         payments.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
+
+
+def close_prior_count(state: PriorCountState, empty: DataFrame, next_batch: int) -> None:
+    """End of the stream: nothing more can arrive, so waiting rows are counted too."""
+    count_batch(state, empty, next_batch, "0 seconds", final=True)
+
+
+def counted(state: PriorCountState) -> DataFrame:
+    """Everything counted so far."""
+    return state.spark.read.parquet(f"{state.path}/counted").drop("version")
+
+
+def collected_by_hour(spark: SparkSession, path: str) -> DataFrame:
+    """Paired requests and alerts per event hour, read from the collected folders."""
+    def lines(collection: str) -> DataFrame:
+        text = spark.read.text(f"{path}/batch=*/{collection}", recursiveFileLookup=True)
+        return text.select(
+            F.get_json_object("value", "$.correlationid").alias("correlationid"),
+            F.get_json_object("value", "$.data[0].alert").cast("boolean").alias("alert"),
+            F.to_date(F.regexp_extract(F.col("_metadata.file_path"), "event_date=([0-9-]+)", 1)).alias("event_date"),
+            F.regexp_extract(F.col("_metadata.file_path"), "event_hour=([0-9]+)", 1).cast("int").alias("event_hour"),
+        )
+
+    pairs = lines("inputs").select("correlationid").join(lines("outputs"), "correlationid")
+    return pairs.groupBy("event_date", "event_hour").agg(F.count(F.lit(1)).alias("n"), F.count_if("alert").alias("alerts"))
