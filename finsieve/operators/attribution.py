@@ -113,29 +113,34 @@ def global_importance(long: DataFrame) -> DataFrame:
     )
 
 
-def direction_summary(values: DataFrame, importance: DataFrame) -> DataFrame:
+def direction_summary(values: DataFrame) -> DataFrame:
     """Mean contribution at low or absent against high or present values per feature.
 
     ``values`` is long: feature, value, phi. A feature with values in {0, 1} only is
     compared by presence, any other by its outer quartiles.
     """
-    quartiles = exact_quantiles(values, ["feature"], "value", (0.25, 0.75))
-    kinds = values.groupBy("feature").agg(F.bool_and(F.col("value").isin(0.0, 1.0)).alias("binary"))
+    quartiles = exact_quantiles(values, ["feature"], "value", (0.25, 0.75)).withColumnRenamed("feature", "_f")
     # One row per feature on the joined side.
-    limits = F.broadcast(quartiles.join(kinds, "feature"))
-    q1, q3 = F.col("quantiles")[0], F.col("quantiles")[1]
-    low = F.when(F.col("binary"), F.col("value") == 0).otherwise(F.col("value") <= q1)
-    high = F.when(F.col("binary"), F.col("value") == 1).otherwise(F.col("value") >= q3)
-    means = values.join(limits, "feature").groupBy("feature", "binary").agg(
-        F.avg(F.when(low, F.col("phi"))).alias("low_mean"), F.avg(F.when(high, F.col("phi"))).alias("high_mean")
+    rows = values.join(F.broadcast(quartiles), F.col("feature") == F.col("_f"))
+    at_most, at_least = F.col("value") <= F.col("quantiles")[0], F.col("value") >= F.col("quantiles")[1]
+
+    def mean(condition: Column) -> Column:
+        return F.avg(F.when(condition, F.col("phi")))
+
+    found = rows.groupBy("feature").agg(
+        F.bool_and(F.col("value").isin(0.0, 1.0)).alias("binary"),
+        mean(F.col("value") == 0).alias("absent"), mean(F.col("value") == 1).alias("present"),
+        mean(at_most).alias("low"), mean(at_least).alias("high"),
+        F.avg(F.abs("phi")).alias("mean_abs_phi"),
     )
+    kind = F.when(F.col("binary"), F.lit("binary")).otherwise(F.lit("numeric"))
+    low = F.when(F.col("binary"), F.col("absent")).otherwise(F.col("low"))
+    high = F.when(F.col("binary"), F.col("present")).otherwise(F.col("high"))
     diff = F.col("high_mean") - F.col("low_mean")
-    return means.withColumn("high_minus_low", diff).join(importance, "feature", "left").select(
-        "feature", F.when(F.col("binary"), F.lit("binary")).otherwise(F.lit("numeric")).alias("kind"),
-        "low_mean", "high_mean", "high_minus_low", "mean_abs_phi",
-        F.when(F.col("high_minus_low") > 0, F.lit("increases"))
-        .when(F.col("high_minus_low") < 0, F.lit("decreases")).otherwise(F.lit("none")).alias("direction"),
-    )
+    return found.select("feature", kind.alias("kind"), low.alias("low_mean"), high.alias("high_mean"), "mean_abs_phi").withColumns({
+        "high_minus_low": diff,
+        "direction": F.when(diff > 0, F.lit("increases")).when(diff < 0, F.lit("decreases")).otherwise(F.lit("none")),
+    }).orderBy(F.desc("mean_abs_phi"), "feature")
 
 
 def top_contributions(long: DataFrame, keys: Sequence[str] = ("row_id",), top: int = 3) -> DataFrame:

@@ -9,20 +9,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 
 from finsieve.constants import (
     BINARY_FEATURES, CATEGORICAL_FEATURES, NUMERIC_FEATURES, PSI_BINS, PSI_EPSILON, PSI_MODERATE,
     PSI_SIGNIFICANT,
 )
-from finsieve.operators.ordered import ROWS_PER_TASK, exact_quantiles, quantiles_from_counts
+from finsieve.operators.ordered import ROWS_PER_TASK, exact_quantiles
 from finsieve.session import stage
 
 
 class Profile(NamedTuple):
     edges: DataFrame    # feature, inner: the finite cut points, rising
-    buckets: DataFrame  # feature, type, bucket, n_ref
+    buckets: DataFrame  # feature, bucket, n_ref
     columns: dict[str, str]  # feature -> type
+    bins: int
 
 
 FEATURE_TYPES = {
@@ -53,9 +54,9 @@ def _melt(df: DataFrame, types: dict[str, str], keys: Sequence[str]) -> DataFram
     return df.select(*keys, F.explode(cells).alias("m")).select(*keys, "m.*")
 
 
-def _bin(inner: Column, value: Column) -> Column:
-    """Number of cut points at or below the value: bins are [a, b)."""
-    return F.size(F.filter(inner, lambda e: e <= value))
+def _bin(inner: str, value: str, most: int) -> Column:
+    """Number of the at most ``most`` cut points at or below the value: bins are [a, b)."""
+    return F.expr(" + ".join(f"coalesce(int(get({inner}, {i}) <= {value}), 0)" for i in range(most)))
 
 
 def quantile_edges(quantiles: Column) -> Column:
@@ -66,40 +67,37 @@ def quantile_edges(quantiles: Column) -> Column:
 
 def reference_profile(reference: DataFrame, types: dict[str, str] = FEATURE_TYPES, bins: int = PSI_BINS,
                       rows_per_task: int = ROWS_PER_TASK) -> Profile:
-    """One pass over the reference; everything else works on its value counts."""
-    counts = stage(
-        _melt(reference, types, []).groupBy("feature", "type", "text", "number")
-        .agg(F.count(F.lit(1)).alias("n_ref")), "profile",
-    )
-    numbers = counts.filter(F.col("type").isin("numeric", "prediction"))
+    """Edges from exact quantiles, then a count per bucket. ``reference`` should be a stored
+    table: it is scanned for the edges and again for the counts, and little is shuffled.
+    """
+    numbers = {f: t for f, t in types.items() if _numeric(t)}
     probs = [i / bins for i in range(bins + 1)]
-    edges = quantiles_from_counts(numbers, ["feature", "type"], "number", "n_ref", probs, rows_per_task).select(
-        "feature", "type", quantile_edges(F.col("quantiles")).alias("inner")
-    )
-    edges = stage(edges, "edges")
+    if numbers:
+        quantiles = exact_quantiles(_melt(reference, numbers, []), ["feature", "type"], "number", probs, rows_per_task)
+    else:
+        quantiles = reference.sparkSession.createDataFrame([], "feature string, type string, quantiles array<double>")
+    edges = quantiles.select("feature", "type", quantile_edges(F.col("quantiles")).alias("inner"))
+    found = _bucketed(reference, types, [], edges, bins).agg(F.count(F.lit(1)).alias("n_ref"))
+    names = F.sequence(F.lit(0), F.size("inner")).cast("array<string>")
+    every = edges.select("feature", F.explode(names).alias("bucket"))
+    buckets = found.join(every, ["feature", "bucket"], "full_outer").na.fill({"n_ref": 0})
+    return Profile(edges.select("feature", "inner"), stage(buckets, "buckets"), dict(types), bins)
+
+
+def _bucketed(df: DataFrame, types: dict[str, str], keys: list[str], edges: DataFrame, bins: int) -> GroupedData:
     # One row per numeric column, so the broadcast side is bounded by the width of the table.
-    filled = (
-        numbers.join(F.broadcast(edges), ["feature", "type"])
-        .groupBy("feature", "type", _bin(F.col("inner"), F.col("number")).cast("string").alias("bucket"))
-        .agg(F.sum("n_ref").alias("n_ref"))
-    )
-    every = edges.select("feature", "type", F.explode(F.sequence(F.lit(0), F.size("inner"))).alias("b"))
-    numeric = every.select("feature", "type", F.col("b").cast("string").alias("bucket")).join(
-        filled, ["feature", "type", "bucket"], "left"
-    ).na.fill({"n_ref": 0})
-    classes = counts.filter(F.col("text").isNotNull()).select("feature", "type", F.col("text").alias("bucket"), "n_ref")
-    buckets = stage(classes.unionByName(numeric.select("feature", "type", "bucket", "n_ref")), "buckets")
-    return Profile(edges.select("feature", "inner"), buckets, dict(types))
+    cut = F.broadcast(edges.select(F.col("feature").alias("_f"), "inner"))
+    melted = _melt(df, types, keys)
+    melted = melted.join(cut, melted.feature == cut["_f"], "left")
+    number = _bin("inner", "number", bins).cast("string")
+    bucket = F.when(F.col("text").isNotNull(), F.col("text")).otherwise(number)
+    return melted.groupBy(*keys, "feature", bucket.alias("bucket"))
 
 
 def bucket_counts(profile: Profile, current: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, feature, bucket, n_cur) of current rows in the profile's buckets."""
-    keys = list(keys)
-    melted = _melt(current, profile.columns, keys).join(F.broadcast(profile.edges), "feature", "left")
-    bucket = F.when(F.col("text").isNotNull(), F.col("text")).otherwise(
-        _bin(F.col("inner"), F.col("number")).cast("string")
-    )
-    return melted.groupBy(*keys, "feature", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n_cur"))
+    grouped = _bucketed(current, profile.columns, list(keys), profile.edges, profile.bins)
+    return grouped.agg(F.count(F.lit(1)).alias("n_cur"))
 
 
 def classify_psi(psi: str = "psi") -> Column:

@@ -32,7 +32,8 @@ class Spec(NamedTuple):
 def _logistic(rows: int, weighted: bool) -> LogisticRegression:
     # Balanced weights sum to the row count, so the penalty is 1 / (C * rows) with C = 1.
     model = LogisticRegression(
-        labelCol=TARGET, maxIter=1000, regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False
+        labelCol=TARGET, maxIter=1000, regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False,
+        tol=1e-4,
     )
     return model.setWeightCol("weight") if weighted else model
 

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from finsieve.session import stage
+from finsieve.session import stage, stage_counted
 
 ROWS_PER_TASK = 2_000_000
 _SLICE = "_slice"
@@ -98,8 +98,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Order, sums: dict[st
     staged first: its size decides the plan, and its upstream runs only once.
     """
     keys, totals = list(keys), totals or {}
-    staged = stage(df, "counts")
-    rows = staged.count()
+    staged, rows = stage_counted(df, "counts")
     sum_cols = {n: F.col(c) for n, c in sums.items()}
     total_cols = {n: F.col(c) for n, c in totals.items()}
     if rows <= rows_per_task:
@@ -134,29 +133,82 @@ def quantiles_from_counts(counts: DataFrame, keys: Sequence[str], value: str, n:
         keys, [(value, "asc")], {"_cum": n}, {"_all": n}, rows_per_task,
     )
 
-    def at(position: Column) -> Column:
-        return F.min(F.when(F.col("_cum") > position, F.col(value)))
+    return _read_off(cum, keys, probs, f"`{value}`")
 
-    parts = []
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+                    rows_per_task: int = ROWS_PER_TASK, many_groups: bool = False) -> DataFrame:
+    """Exact quantiles of ``value`` per group as an array in the order of ``probs``.
+
+    For a few groups (columns, classes, sides) a sketch first brackets each quantile.
+    Values outside every bracket are then only counted, so map-side aggregation leaves
+    a fraction of a percent of the rows to shuffle and order. A bracket that missed
+    shows as a gap and sends the work down the plain way: with many groups, too, it
+    counts every distinct value.
+    """
+    keys = list(keys)
+    rows = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
+    if not many_groups:
+        found = _bracketed(rows, keys, probs, rows_per_task)
+        if found is not None:
+            return found
+    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    return quantiles_from_counts(counts, keys, "_v", "_n", probs, rows_per_task)
+
+
+SKETCH_ACCURACY = 10_000
+FEW_GROUPS = 1_000
+
+
+def _bracketed(rows: DataFrame, keys: list[str], probs: Sequence[float], rows_per_task: int) -> DataFrame | None:
+    """Quantiles from bracketed counts; None when a bracket missed or groups are many.
+
+    The brackets and the result are a few numbers per group, for at most FEW_GROUPS
+    groups, and pass through the driver.
+    """
+    spark, margin = rows.sparkSession, 3.0 / SKETCH_ACCURACY
+    ends = [min(1.0, max(0.0, p + way * margin)) for p in probs for way in (-1, 1)]
+    at = ", ".join(f"{e!r}D" for e in ends)
+    cuts = [f"_c{i}" for i in range(len(ends))]
+    sketch = rows.groupBy(*keys).agg(F.expr(f"percentile_approx(_v, array({at}), {SKETCH_ACCURACY})").alias("_q"))
+    sketch = sketch.selectExpr(*[f"`{k}` as `_k_{k}`" for k in keys], *[f"_q[{i}] as {c}" for i, c in enumerate(cuts)])
+    found = sketch.limit(FEW_GROUPS + 1).collect()
+    if len(found) > FEW_GROUPS:
+        return None
+    brackets = spark.createDataFrame(found, sketch.schema)
+    joined = rows.join(F.broadcast(brackets), _same(rows, brackets, keys))
+    # Even places lie between two neighbouring cuts, odd places on one.
+    place = " + ".join(f"int({c} < _v) + int({c} <= _v)" for c in cuts)
+    inside = " or ".join(f"_v between {low} and {high}" for low, high in zip(cuts[::2], cuts[1::2]))
+    cells = joined.select(
+        *keys, F.expr(place).alias("_place"), F.expr(f"case when {inside} then _v end").alias("_x")
+    ).groupBy(*keys, "_place", "_x").agg(F.count(F.lit(1)).alias("_n"))
+    cum = running_sums(cells, keys, [("_place", "asc"), ("_x", "asc")], {"_cum": "_n"}, {"_all": "_n"}, rows_per_task)
+    result = _read_off(cum, keys, probs, "struct(_place, _x)", "._x")
+    values = result.collect()
+    if any(q is None for row in values for q in row["quantiles"]):
+        return None
+    return spark.createDataFrame(values, result.schema)
+
+
+def _read_off(cum: DataFrame, keys: list[str], probs: Sequence[float], cell: str, value: str = "") -> DataFrame:
+    """Interpolated quantiles from running counts ``_cum`` of ``_all`` along rising cells.
+
+    ``cell`` orders the cells and ``value`` reads the value off one. The expressions are
+    SQL text, since there are several per quantile.
+    """
+    parts, picked = [], []
     for i, p in enumerate(probs):
-        place = (F.col("_all") - 1) * F.lit(float(p))
+        place = f"((_all - 1) * {float(p)!r}D)"
         parts += [
-            at(F.floor(place)).alias(f"_lo{i}"),
-            at(F.ceil(place)).alias(f"_hi{i}"),
-            F.max(place - F.floor(place)).alias(f"_w{i}"),
+            F.expr(f"min(case when _cum > floor({place}) then {cell} end)").alias(f"_lo{i}"),
+            F.expr(f"min(case when _cum > ceil({place}) then {cell} end)").alias(f"_hi{i}"),
+            F.expr(f"max({place} - floor({place}))").alias(f"_w{i}"),
         ]
-    picked = [
-        F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")
-        for i in range(len(probs))
-    ]
-    return cum.groupBy(*keys).agg(*parts).select(*keys, F.array(*picked).alias("quantiles"))
-
-
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Exact quantiles of ``value`` per group as an array in the order of ``probs``."""
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    return quantiles_from_counts(counts, keys, value, "_n", probs, rows_per_task)
+        picked.append(f"_lo{i}{value} + (_hi{i}{value} - _lo{i}{value}) * _w{i}")
+    return cum.groupBy(*keys).agg(*parts).selectExpr(
+        *[f"`{k}`" for k in keys], f"array({', '.join(picked)}) as quantiles"
+    )
 
 
 def smallest_n(df: DataFrame, order: Order, n: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:

@@ -147,7 +147,7 @@ def per_minute(requests: DataFrame) -> DataFrame:
     rows = requests.withColumn("minute", F.date_trunc("minute", "ts"))
     keys = ["minute", "status_class"]
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("requests"), F.avg("latency_ms").alias("latency_mean"))
-    q = exact_quantiles(rows, keys, "latency_ms", (0.5, 0.95, 0.99))
+    q = exact_quantiles(rows, keys, "latency_ms", (0.5, 0.95, 0.99), many_groups=True)
     return counts.join(q, keys).select(
         *keys, "requests", "latency_mean",
         *[F.col("quantiles")[i].alias(x) for i, x in enumerate(("latency_p50", "latency_p95", "latency_p99"))],

@@ -471,7 +471,7 @@ def shapley_direction(spark, sf):
         value = F.when(F.col("feature") == f, shown.get(f, F.col(f)).cast("double")).otherwise(value)
     keep = ["row_id", "payment_format", "amount_paid", "is_business_hours", "same_account", "sender_previous_tx_count"]
     long = at.additive_attribution(rows, terms, rows, keep).withColumn("value", value)
-    return at.direction_summary(long.select("feature", "value", "phi"), at.global_importance(long))
+    return at.direction_summary(long.select("feature", "value", "phi"))
 
 
 @query("shapley_top3", SHAP + """
