@@ -165,6 +165,17 @@ def telemetry_per_minute(spark, sf):
     return tm.per_minute(requests(prepared(spark, sf, "events")))
 
 
+@query("traffic_distribution", EVF + """, m as (select 'score' as measure, score as value from ef union all select 'latency_ms', amount_paid from ef)
+select measure, count(*) as n, round(avg(value), 6) as mean, min(value) as min, round(quantile_cont(value, 0.05), 6) as p05, round(quantile_cont(value, 0.25), 6) as p25,
+       round(quantile_cont(value, 0.5), 6) as median, round(quantile_cont(value, 0.75), 6) as p75, round(quantile_cont(value, 0.95), 6) as p95, max(value) as max
+from m group by 1""")
+def traffic_distribution(spark, sf):
+    """Score and latency of all requests, both from the same passes."""
+    rows = prepared(spark, sf, "event_features").withColumn("latency_ms", F.col("amount_paid"))
+    melted = rows.unpivot(["row_id"], ["score", "latency_ms"], "measure", "value")
+    return dr.score_summary(melted, ["measure"], "value")
+
+
 # --- drift ------------------------------------------------------------------------
 
 TYPES = {**dr.FEATURE_TYPES, "score": "prediction"}
