@@ -152,6 +152,6 @@ def top_contributions(long: DataFrame, keys: Sequence[str] = ("row_id",), top: i
     order = Window.partitionBy(*keys, "effect").orderBy(F.desc(F.abs("phi")), "feature")
     return (
         long.withColumn("effect", side).filter(F.col("effect").isNotNull())
-        .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top)
+        .withColumn("place", F.row_number().over(order).cast("long")).filter(F.col("place") <= top)
         .select(*keys, "effect", "place", "feature", "phi")
     )

@@ -129,7 +129,7 @@ def telemetry_checks(spark, sf):
 select md5(concat('request-', cast(row_id as string))) as correlationid, payment_format, round(amount_paid, 6) as amount_paid,
        sender_previous_tx_count + case when d = 3 then 1000 else 0 end as sender_previous_tx_count, is_business_hours,
        case when d <> 7 then same_account end as same_account, round(score, 6) as score, score >= {THRESHOLD} as alert,
-       round({THRESHOLD}, 6) as threshold, '0.1.0' as model_version
+       {THRESHOLD}e0 as threshold, '0.1.0' as model_version
 from t where d not in (1, 2, 4, 5, 8, 9, 12)""")
 def telemetry_pairs(spark, sf):
     return tm.typed_pairs(tm.pair(records(spark, sf), strict=False))
@@ -233,7 +233,7 @@ select feature, row_number() over (partition by feature order by e) as place, ro
 def psi_edges(spark, sf):
     edges = profile(spark, sf).edges
     return edges.select("feature", F.posexplode("inner").alias("p", "edge")).select(
-        "feature", (F.col("p") + 1).alias("place"), "edge"
+        "feature", (F.col("p") + 1).cast("long").alias("place"), "edge"
     )
 
 

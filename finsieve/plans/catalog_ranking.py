@@ -409,7 +409,7 @@ def score_parity(spark, sf):
 
 @query("score_contract", FEAT + f"""
 select row_id, round(cast({points('rule_a')} as double) / 1000, 6) as risk_score, cast({points('rule_a')} as double) / 1000 >= {THRESHOLD} as is_alert,
-       round({THRESHOLD}, 6) as threshold, '0.1.0' as model_version from f""")
+       {THRESHOLD}e0 as threshold, '0.1.0' as model_version from f""")
 def score_contract(spark, sf):
     return md.with_contract(features(spark, sf), rule_score("rule_a"), THRESHOLD).select("row_id", *md.OUTPUT_CONTRACT)
 

@@ -15,7 +15,7 @@ ORACLE: dict[str, str] = {}
 _TABLES = {t: t for t in ("lineitem", "orders", "customer", "supplier", "nation", "region", "events")}
 
 _FEATURES = """(
-  select *, hour(ts) as hour, case when hour(ts) between 8 and 18 then 1 else 0 end as is_business_hours,
+  select *, cast(hour(ts) as integer) as hour, case when hour(ts) between 8 and 18 then 1 else 0 end as is_business_hours,
          case when account = counterparty then 1 else 0 end as same_account,
          row_number() over (partition by account order by ts, row_id) - 1 as sender_previous_tx_count,
          instr('0123456789abcdef', substr(md5(concat('j', cast(row_id as string))), 1, 1)) - 1 as j,

@@ -12,6 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from finsieve.session import local_session  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
+ORACLE = "/root/testdata/sf0.01"  # row_id is unique from here on
 
 
 @pytest.fixture(scope="session")

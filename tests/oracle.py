@@ -8,6 +8,12 @@ from pathlib import Path
 import duckdb
 
 
+SAME_TYPE = {
+    "double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp": "TIMESTAMP", "date": "DATE",
+}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in sorted(Path(sf_dir).glob("*.parquet")):
@@ -51,6 +57,10 @@ def difference(df, con, sql) -> str | None:
     b_names, b, b_types = oracle_rows(con, sql)
     if a_names != b_names:
         return f"columns {a_names} != {b_names}"
+    kinds = {n: (SAME_TYPE.get(t, t), b_types[n]) for n, t in a_types.items()}
+    wrong = {n: k for n, k in kinds.items() if k[0] != k[1]}
+    if wrong:
+        return f"types {wrong}"
     if a == b:
         return None
     left, right = set(a), set(b)

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from tests.conftest import SMALL
+from tests.conftest import ORACLE
 from tests.oracle import connect, difference
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
@@ -12,7 +12,7 @@ FITS = {name for name in QUERIES if name.startswith(("model_", "shapley_local",
 
 @pytest.fixture(scope="module")
 def con():
-    return connect(SMALL)
+    return connect(ORACLE)
 
 
 def test_oracle_keys_are_queries():
@@ -20,8 +20,8 @@ def test_oracle_keys_are_queries():
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
-def test_matches_oracle(name, spark, sf, con):
-    assert difference(QUERIES[name](spark, sf), con, SQL[name]) is None
+def test_matches_oracle(name, spark, con):
+    assert difference(QUERIES[name](spark, ORACLE), con, SQL[name]) is None
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - FITS))
