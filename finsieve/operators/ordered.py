@@ -209,14 +209,3 @@ def _read_off(cum: DataFrame, keys: list[str], probs: Sequence[float], cell: str
     return cum.groupBy(*keys).agg(*parts).selectExpr(
         *[f"`{k}`" for k in keys], f"array({', '.join(picked)}) as quantiles"
     )
-
-
-def smallest_n(df: DataFrame, order: Order, n: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """The first ``n`` rows of a unique global order.
-
-    A short list is a take-ordered limit. A long one would pass through one task, so
-    it is cut by rank instead.
-    """
-    if n <= rows_per_task:
-        return df.orderBy(*_sort(order)).limit(n)
-    return row_rank(df, [], order, "_rank", rows_per_task).filter(F.col("_rank") <= n).drop("_rank")

@@ -11,13 +11,12 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from finsieve.constants import (
     BINARY_FEATURES, CATEGORICAL_FEATURES, NUMERIC_FEATURES, SEED, TARGET, TEST_SHARE, UNDERSAMPLE_RATIO,
 )
 from finsieve.functions.columns import is_test, row_hash
-from finsieve.operators.ordered import ROWS_PER_TASK, row_rank, smallest_n
 
 
 def split_by_hash(df: DataFrame, share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
@@ -27,8 +26,43 @@ def split_by_hash(df: DataFrame, share: float = TEST_SHARE, seed: int = SEED) ->
     )
 
 
-def split_exact(df: DataFrame, share: float = TEST_SHARE, seed: int = SEED, label: str = TARGET,
-                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+LAST_BUCKET = 100_000
+
+
+def hash_cut(df: DataFrame, n: int, seed: int = SEED) -> tuple[str, int] | None:
+    """The (hash, row_id) of the n-th row in hash order; None when there are fewer rows.
+
+    Counts per three hex digits show which bucket holds that row; the bucket is opened
+    three digits further until few rows are left, and only those are ordered. The
+    passes read nothing but row_id and shuffle at most 4,096 counts per task, so an
+    exact draw of any size becomes a filter.
+    """
+    rows = df.select(row_hash("row_id", seed).alias("h"), "row_id")
+    prefix, left = "", n
+    while True:
+        digit = F.substring("h", len(prefix) + 1, 3)
+        counts = rows.filter(F.col("h").startswith(prefix)).groupBy(digit.alias("d")).count().orderBy("d").collect()
+        for digits, size in counts:
+            if left <= size:
+                break
+            left -= size
+        else:
+            return None
+        prefix += digits
+        if size <= LAST_BUCKET or len(prefix) > 27:
+            last = rows.filter(F.col("h").startswith(prefix)).orderBy("h", "row_id").limit(left)
+            return tuple(last.agg(F.max(F.struct("h", "row_id"))).first()[0])
+
+
+def first_by_hash(df: DataFrame, n: int, seed: int = SEED) -> Column:
+    """Whether a row is among the first ``n`` in hash order."""
+    cut = hash_cut(df, n, seed) if n > 0 else ("", 0)
+    if cut is None:
+        return F.lit(True)
+    return F.struct(row_hash("row_id", seed), "row_id") <= F.struct(F.lit(cut[0]), F.lit(cut[1]).cast("long"))
+
+
+def split_exact(df: DataFrame, share: float = TEST_SHARE, seed: int = SEED, label: str = TARGET) -> DataFrame:
     """Add ``split`` with exact sizes: ceil(share * n) test rows, shared out over the
     classes in proportion, the largest remainders first."""
     sizes = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
@@ -39,15 +73,11 @@ def split_exact(df: DataFrame, share: float = TEST_SHARE, seed: int = SEED, labe
     left = n_test - sum(take.values())
     for c in sorted(quota, key=lambda c: (take[c] - quota[c], c))[:left]:
         take[c] += 1
-    ranked = row_rank(
-        df.withColumn("_h", row_hash("row_id", seed)), [label], [("_h", "asc"), ("row_id", "asc")],
-        "_rank", rows_per_task,
-    )
-    cut = F.lit(0)
+    chosen = F.lit(False)
     for c, n in take.items():
-        cut = F.when(F.col(label) == c, F.lit(n)).otherwise(cut)
-    chosen = F.when(F.col("_rank") <= cut, F.lit("test")).otherwise(F.lit("train"))
-    return ranked.withColumn("split", chosen).drop("_h", "_rank")
+        mine = F.col(label) == c
+        chosen = chosen | (mine & first_by_hash(df.filter(mine), n, seed))
+    return df.withColumn("split", F.when(chosen, F.lit("test")).otherwise(F.lit("train")))
 
 
 def split_manifest(df: DataFrame, label: str = TARGET) -> DataFrame:
@@ -82,20 +112,16 @@ def add_weight(train: DataFrame, kind: str, label: str = TARGET) -> DataFrame:
     return train.withColumn("weight", F.when(F.col(label) == 1, F.lit(pos)).otherwise(F.lit(neg)))
 
 
-def undersample(train: DataFrame, ratio: float = UNDERSAMPLE_RATIO, seed: int = SEED, label: str = TARGET,
-                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def undersample(train: DataFrame, ratio: float = UNDERSAMPLE_RATIO, seed: int = SEED, label: str = TARGET) -> DataFrame:
     """All positives and, without replacement, n_pos / ratio negatives in hash order."""
-    positives = train.filter(F.col(label) == 1)
-    keep = int(positives.count() / ratio)
-    negatives = train.filter(F.col(label) == 0).withColumn("_h", row_hash("row_id", seed))
-    drawn = smallest_n(negatives, [("_h", "asc"), ("row_id", "asc")], keep, rows_per_task).drop("_h")
-    return positives.unionByName(drawn)
+    positive = F.col(label) == 1
+    keep = int(train.filter(positive).count() / ratio)
+    return train.filter(positive | first_by_hash(train.filter(F.col(label) == 0), keep, seed))
 
 
-def seeded_sample(df: DataFrame, n: int, seed: int = SEED, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def seeded_sample(df: DataFrame, n: int, seed: int = SEED) -> DataFrame:
     """Exactly min(n, rows) rows without replacement."""
-    hashed = df.withColumn("_h", row_hash("row_id", seed))
-    return smallest_n(hashed, [("_h", "asc"), ("row_id", "asc")], n, rows_per_task).drop("_h")
+    return df.filter(first_by_hash(df, n, seed))
 
 
 def preprocessing(scale: bool = False, drop: Sequence[str] = ()) -> Pipeline:

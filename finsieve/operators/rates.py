@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from finsieve.constants import BANK_MIN_SUPPORT, SEED, TARGET, VELOCITY_BANDS, VISUAL_SAMPLE_ROWS
-from finsieve.functions.columns import row_hash, velocity_band
-from finsieve.operators.ordered import exact_quantiles, smallest_n
+from finsieve.functions.columns import velocity_band
+from finsieve.operators.ordered import exact_quantiles
+from finsieve.operators.prep import first_by_hash
 from finsieve.session import stage
 
 
@@ -140,6 +141,5 @@ def class_histogram(df: DataFrame, value: Column, bins: int, label: str = TARGET
 
 def visual_sample(df: DataFrame, n: int = VISUAL_SAMPLE_ROWS, seed: int = SEED, label: str = TARGET) -> DataFrame:
     """Every illicit row plus ``n`` legitimate rows drawn by hash order."""
-    legit = df.filter(F.col(label) == 0).withColumn("_h", row_hash("row_id", seed))
-    drawn = smallest_n(legit, [("_h", "asc"), ("row_id", "asc")], n).drop("_h")
-    return drawn.unionByName(df.filter(F.col(label) == 1))
+    legit = F.col(label) == 0
+    return df.filter((F.col(label) == 1) | (legit & first_by_hash(df.filter(legit), n, seed)))

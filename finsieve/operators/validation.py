@@ -9,6 +9,7 @@ from pyspark.sql.types import NumericType
 
 from finsieve.constants import NUMERIC_CONTRACT, TARGET, TX_COLUMNS
 from finsieve.operators.ordered import exact_quantiles
+from finsieve.session import stage
 
 
 class SchemaContractError(ValueError):
@@ -158,8 +159,9 @@ def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
 
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()
+    """Share of each value; the total is summed from the counts, so the table is read once."""
+    counts = stage(df.groupBy(column).agg(F.count(F.lit(1)).alias("n")), "shares")
+    total = counts.agg(F.sum("n")).first()[0]
     return counts.withColumn("pct", 100.0 * F.col("n") / F.lit(total))
 
 

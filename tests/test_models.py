@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from finsieve.constants import MODEL_FEATURES, SCORE_PARITY_TOLERANCE
+from finsieve.functions.columns import row_hash
 from finsieve.operators import attribution as at, features as ft, models as md, prep, ranking as rk
 from finsieve.plans import jobs
 
@@ -50,9 +51,8 @@ def test_null_account_is_not_the_same(spark):
     assert [r.same_account for r in ft.add_same_account(df).collect()] == [0, 0, 1]
 
 
-@pytest.mark.parametrize("rows_per_task", [5000, 10**7])
-def test_exact_split_sizes(signal, rows_per_task):
-    out = prep.split_exact(signal, rows_per_task=rows_per_task)
+def test_exact_split_sizes(signal):
+    out = prep.split_exact(signal)
     counts = {r.split: r for r in prep.split_manifest(out).collect()}
     positives = signal.filter("is_laundering = 1").count()
     assert counts["test"].n == math.ceil(0.3 * 60000) and counts["train"].n + counts["test"].n == 60000
@@ -68,9 +68,13 @@ def test_draws_do_not_depend_on_layout(signal):
         assert {r.row_id for r in a.select("row_id").collect()} == {r.row_id for r in b.select("row_id").collect()}
 
 
-def test_undersample_by_rank_equals_limit(signal):
-    a, b = prep.undersample(signal), prep.undersample(signal, rows_per_task=500)
-    assert {r.row_id for r in a.collect()} == {r.row_id for r in b.collect()}
+@pytest.mark.parametrize("last_bucket", [3, 100_000])
+@pytest.mark.parametrize("n", [0, 1, 17, 5000, 59_999, 60_000, 70_000])
+def test_hash_draw_equals_sorting(signal, monkeypatch, n, last_bucket):
+    monkeypatch.setattr(prep, "LAST_BUCKET", last_bucket)
+    got = {r.row_id for r in prep.seeded_sample(signal.select("row_id"), n).collect()}
+    ordered = signal.select("row_id").orderBy(row_hash("row_id"), "row_id").limit(n)
+    assert got == {r.row_id for r in ordered.collect()} and len(got) == min(n, 60_000)
 
 
 def test_weights_need_positives(signal):

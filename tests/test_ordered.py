@@ -103,9 +103,3 @@ def test_many_groups_use_counts(spark, monkeypatch):
     df = spark.range(100).select((F.col("id") % 10).alias("k"), F.col("id").cast("double").alias("v"))
     got = {r.k: r.quantiles[0] for r in o.exact_quantiles(df, ["k"], "v", (0.5,)).collect()}
     assert got == {k: 45.0 + k for k in range(10)}
-
-
-@pytest.mark.parametrize("rows_per_task", [10, 10_000])
-def test_smallest_n(skewed, rows_per_task):
-    got = o.smallest_n(skewed, [("row_id", "desc")], 100, rows_per_task)
-    assert sorted(r.row_id for r in got.collect()) == list(range(2900, 3000))
