@@ -68,19 +68,31 @@ def output_envelope(cid: Column) -> Column:
     return F.to_json(F.struct(cid.alias("correlationid"), F.array(row).alias("data")))
 
 
-def emit(scored: DataFrame, path: str, rate: float = 1.0, mode: str = "append") -> None:
+ROWS_PER_FILE = 1_000_000
+
+
+def emit(scored: DataFrame, path: str, rate: float = 1.0, mode: str = "append",
+         rows_per_file: int = ROWS_PER_FILE) -> None:
     """Append scored rows as paired collections, rolled by event hour.
 
-    Sampling is by id, so both records of a request are kept or neither is. Rows are
-    rebalanced by hour: quiet hours share a task and a busy hour is split over several.
+    Sampling is by id, so both records of a request are kept or neither is. Each hour is
+    written by one task, except that an hour beyond ``rows_per_file`` is salted over as
+    many tasks as it needs.
     """
-    cid = correlation_id()
+    spark, cid, hours = scored.sparkSession, correlation_id(), ["event_date", "event_hour"]
     if rate < 1.0:
         scored = scored.filter(F.substring(cid, 1, 8) < F.lit(f"{round(rate * 0x1_0000_0000):08x}"))
-    rolled = scored.withColumns({"event_date": F.to_date("ts"), "event_hour": F.hour("ts")}).hint(
-        "rebalance", "event_date", "event_hour"
-    )
+    rolled = scored.withColumns({"event_date": F.to_date("ts"), "event_hour": F.hour("ts")})
+    counts = rolled.groupBy(*hours).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_file)
+    busy = counts.collect()  # at most rows / rows_per_file
+    salt = F.lit(0)
+    if busy:
+        rolled = rolled.join(F.broadcast(spark.createDataFrame(busy, counts.schema)), hours, "left")
+        parts = F.ceil(F.coalesce(F.col("_n"), F.lit(1)) / F.lit(rows_per_file))
+        salt = F.pmod(F.xxhash64("row_id"), parts)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = rolled.withColumn("_salt", salt).repartition(tasks, *hours, "_salt")
     for collection, envelope in zip(COLLECTIONS, (input_envelope, output_envelope)):
-        rolled.select(envelope(cid).alias("value"), "event_date", "event_hour").write.mode(mode).partitionBy(
-            "event_date", "event_hour"
-        ).text(f"{path}/{collection}")
+        spread.select(envelope(cid).alias("value"), *hours).write.mode(mode).partitionBy(*hours).text(
+            f"{path}/{collection}"
+        )

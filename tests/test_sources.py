@@ -147,6 +147,16 @@ def test_emit_samples_pairs(spark, tmp_path, signal):
     assert audit.input_only == audit.output_only == 0 and 100 < audit.matched < 300
 
 
+def test_emit_splits_a_busy_hour(spark, tmp_path, signal):
+    from finsieve.operators.features import build_features
+    from finsieve.operators.models import with_contract
+    one_hour = build_features(signal.filter("row_id < 400")).withColumn("ts", F.lit("2024-01-01 05:10:00").cast("timestamp"))
+    tel.emit(with_contract(one_hour, F.lit(0.25)), str(tmp_path), rows_per_file=60)
+    files = spark.read.text(f"{tmp_path}/inputs/event_date=2024-01-01/event_hour=5").select("_metadata.file_path").distinct()
+    assert files.count() > 2
+    assert tuple(tm.pairing_audit(tel.scan_envelopes(spark, str(tmp_path))).first()) == (400, 0, 0)
+
+
 def test_contract_rules_in_order(spark, signal):
     assert dq.validate_ledger(signal) is signal
     with pytest.raises(dq.SchemaContractError, match="amount_paid, payment_format"):
