@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -51,17 +51,18 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage_counted(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]:
-    """Like ``stage``, with the number of rows written."""
-    path, seen = new_path(df.sparkSession, label), Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
-
-
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The result has no lineage, so a lost executor costs a re-read and not a
     re-run, and everything derived from it sees the same rows.
     """
-    return stage_counted(df, label)[0]
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]:
+    """Like ``stage``, with the number of rows, which Parquet keeps in its footers."""
+    staged = stage(df, label)
+    return staged, staged.count()
