@@ -121,6 +121,13 @@ def test_scoring_contract(folds, boosted):
     assert one == md.score_batch(boosted, test.filter(F.col("row_id") == score.row_id)).first()
 
 
+def test_fresh_models_score_after_staged_queries(folds):
+    """A model with a training summary drags the session along; it must stay serializable."""
+    rk.average_precision(md.majority_scored(folds[1])).collect()
+    plain = md.fit(folds[0], md.specs(1)["logistic_plain"])
+    assert md.score_batch(plain, folds[1]).agg(F.count("risk_score")).first()[0] == folds[1].count()
+
+
 def test_unknown_and_null_formats_are_scored(folds, boosted):
     odd = folds[1].limit(2).withColumn("payment_format", F.when(F.col("row_id") % 2 == 0, "Barter"))
     assert md.score_batch(boosted, odd).filter("risk_score is not null").count() == 2
