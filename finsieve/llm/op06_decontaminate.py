@@ -27,7 +27,8 @@ SHARD_BYTES = 16 << 20
 _NORMAL = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256)
 )
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Words in the original text, where A-Z still stand.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -96,59 +97,47 @@ def decontaminate(
     """
     kind = benchmark.select(F.col(item).alias("i")).schema["i"].dataType.simpleString()
     id_kind = docs.select(F.col(id).alias("i")).schema["i"].dataType.simpleString()
-    shape = (
-        f"id {id_kind}, t string, n_words bigint, ranges array<struct<a: bigint, b: bigint>>, items array<{kind}>"
-    )
     rows = docs.select(
-        F.col(id).alias("id"), F.col(text).cast("string").alias("t"), F.lit(0).cast("bigint").alias("n_words"),
+        F.col(id).alias("id"), F.col(text).cast("string").alias("t"),
         F.array().cast("array<struct<a: bigint, b: bigint>>").alias("ranges"), F.array().cast(f"array<{kind}>").alias("items"),
     )
     known = benchmark.select(F.col(item).alias("i"), F.col(item_text).cast("string").alias("t")).filter("t is not null")
     n = _shards(benchmark, item, item_text, shard_bytes)
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    pairs = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
     for shard in range(n):
+        last = shard + 1 == n
         part = known.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == shard)
         given = docs.sparkSession.sparkContext.broadcast([(r["i"], r["t"].encode()) for r in part.collect()])
 
-        def run(batches: Iterable[pa.RecordBatch], given=given) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterable[pa.RecordBatch], given=given, last=last) -> Iterator[pa.RecordBatch]:
             automaton, names = build(given.value, window), [i for i, _ in given.value]
             for batch in pieces(batches):
-                count, ranges, items = [], [], []
-                for t, before, had in zip(batch.column("t"), batch.column("ranges"), batch.column("items")):
+                count, ranges, items, spans = [], [], [], []
+                had = zip(batch.column("ranges").to_pylist(), batch.column("items").to_pylist())
+                for t, (old, ids) in zip(batch.column("t"), had):
                     words = words_of(t.as_buffer().to_pybytes() if t.is_valid else None)
                     hits = scan(automaton, words)
                     count.append(len(words))
-                    old = [(r["a"], r["b"]) for r in before.as_py()]
-                    ranges.append([{"a": a, "b": b} for a, b in _merged(old + [(a, a + k) for a, k, _ in hits])])
-                    items.append(list({*had.as_py(), *(names[i] for _, _, i in hits)}))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), batch.column("t"), pa.array(count, pa.int64()),
-                     pa.array(ranges, pa.list_(pa.struct(schema))), pa.array(items, batch.schema.field("items").type)],
-                    names=["id", "t", "n_words", "ranges", "items"],
-                )
-
-        rows = rows.mapInArrow(run, shape)
-        if shard + 1 < n:
+                    if hits:
+                        whole = [(r["a"], r["b"]) for r in old] + [(a, a + k) for a, k, _ in hits]
+                        old = [{"a": a, "b": b} for a, b in _merged(whole)]
+                        ids = list({*ids, *(names[i] for _, _, i in hits)})
+                    ranges.append(old)
+                    items.append(ids)
+                    if last and old:
+                        at = [m.span() for m in _WORD.finditer(t.as_py())]
+                        spans.append([{"a": at[r["a"]][0], "b": at[r["b"] - 1][1]} for r in old])
+                    else:
+                        spans.append([])
+                out = {"id": batch.column("id"), "ranges": pa.array(ranges, pairs), "items": pa.array(items, batch.schema.field("items").type)}
+                out |= {"n_words": pa.array(count, pa.int64()), "spans": pa.array(spans, pairs)} if last else {"t": batch.column("t")}
+                yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
+
+        shape = f"id {id_kind}, ranges array<struct<a: bigint, b: bigint>>, items array<{kind}>"
+        rows = rows.mapInArrow(run, shape + (", n_words bigint, spans array<struct<a: bigint, b: bigint>>" if last else ", t string"))
+        if not last:
             rows = stage(rows, "shard")
-
-    def offsets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for t, ranges in zip(batch.column("t"), batch.column("ranges")):
-                hit = ranges.as_py()
-                if not hit:
-                    out.append([])
-                    continue
-                at = [m.span() for m in _WORD.finditer(t.as_py())]
-                out.append([{"a": at[r["a"]][0], "b": at[r["b"] - 1][1]} for r in hit])
-            keep = [batch.column(c) for c in ("id", "n_words", "ranges", "items")]
-            yield pa.RecordBatch.from_arrays(
-                [*keep, pa.array(out, pa.list_(pa.struct(schema)))], names=["id", "n_words", "ranges", "items", "spans"]
-            )
-
-    return rows.mapInArrow(
-        offsets, shape.replace(" t string,", "") + ", spans array<struct<a: bigint, b: bigint>>"
-    )
+    return rows
 
 
 def digest(ids: DataFrame) -> DataFrame:

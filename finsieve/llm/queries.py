@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from finsieve.llm import op02_packing, op05_simhash, op06_decontaminate
-from finsieve.llm.common import table
+from finsieve.llm import op02_packing, op05_simhash, op06_decontaminate, op08_quality, op09_line_dedup
+from finsieve.llm.common import held_out, table
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -63,3 +63,49 @@ def _decontaminate(spark, d):
     return op06_decontaminate.digest(
         op06_decontaminate.decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark"))
     )
+
+
+@query("op8_quality")
+def _quality(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    known = op08_quality.labelled(
+        docs, labels, ~held_out(F.col("doc_id"), 4, 2), "doc_id", "text", "quality", op08_quality.FIT_ROWS
+    )
+    scored = op08_quality.score(docs, op08_quality.fit(known))
+    return scored.select(
+        F.col("id").alias("doc_id"), held_out(F.col("id"), 4, 2).alias("held_out"), "score", "predicted"
+    )
+
+
+OP9_SQL = """
+with l as (select doc_id, r, i, line, w from (
+             select doc_id, r, i, line, len(list_filter(regexp_split_to_array(line, '[\t\n\x0B\f\r ]+'), lambda x: x <> '')) as w
+             from (select doc_id, r, unnest(range(len(ls))) as i, unnest(ls) as line
+                   from (select doc_id, row_number() over () as r, string_split(text, chr(10)) as ls from documents where text is not null)))
+           where w > 0),
+     s as (select r, i, min(n) as n from (
+             select a.r, a.i, cast(b.i - a.i + 1 as integer) as n, a.doc_id,
+                    sum(b.w) over (partition by a.r, a.i order by b.i) as total,
+                    count(*) over (partition by a.r, a.i order by b.i) as seen
+             from l a join l b on a.r = b.r and b.i between a.i and a.i + 4)
+           where total >= 5 and seen = n group by r, i),
+     k as (select s.r, s.i, s.n, any_value(l.doc_id) as doc_id, string_agg(l.line, chr(10) order by l.i) as run
+           from s join l on l.r = s.r and l.i between s.i and s.i + s.n - 1 group by s.r, s.i, s.n),
+     f as (select run, min((doc_id, r, i)) as first from k group by run),
+     gone as (select distinct k.r, unnest(range(k.i, k.i + k.n)) as i from k join f using (run) where (k.doc_id, k.r, k.i) <> f.first),
+     g as (select r, count(*) as n_deleted from gone group by r),
+     kept as (select d.r, string_agg(d.line, chr(10) order by d.i) as text
+              from (select r, unnest(range(len(ls))) as i, unnest(ls) as line
+                    from (select row_number() over () as r, string_split(text, chr(10)) as ls from documents where text is not null)) d
+              anti join gone on d.r = gone.r and d.i = gone.i group by d.r)
+select d.doc_id, cast(case when text is null then 0 else len(string_split(d.text, chr(10))) end as integer) as n_lines,
+       cast(coalesce(n_deleted, 0) as integer) as n_deleted,
+       case when d.text is null then null else coalesce(kept.text, '') end as text
+from (select row_number() over () as r, * from documents) d left join g using (r) left join kept using (r)
+"""
+
+
+@query("op9_line_dedup", OP9_SQL)
+def _line_dedup(spark, d):
+    done = op09_line_dedup.line_dedup(table(spark, d, "documents"))
+    return done.select(F.col("id").alias("doc_id"), "n_lines", F.size("deleted").alias("n_deleted"), "text")
