@@ -17,6 +17,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from finsieve.llm.common import pieces
 from finsieve.session import stage
@@ -86,8 +87,9 @@ def _shards(benchmark: DataFrame, id: str, text: str, shard_bytes: int) -> int:
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id",
     item_text: str = "text", window: int = WINDOW, shard_bytes: int = SHARD_BYTES,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id, n_words, ranges, items, spans) for every row of ``docs``.
+    """(id, n_words, ranges, items, spans) for every row of ``docs``; with ``carry`` also t, the text, and those columns in ``carried``.
 
     ``ranges`` are the hit word ranges, merged and half-open; ``items`` the ids of items with
     an occurring window; ``spans`` the (start, end) character offsets of the ranges in the
@@ -96,11 +98,12 @@ def decontaminate(
     a row; an empty table or an empty benchmark gives no hits. Other columns are ignored.
     """
     kind = benchmark.select(F.col(item).alias("i")).schema["i"].dataType.simpleString()
-    id_kind = docs.select(F.col(id).alias("i")).schema["i"].dataType.simpleString()
     rows = docs.select(
         F.col(id).alias("id"), F.col(text).cast("string").alias("t"),
         F.array().cast("array<struct<a: bigint, b: bigint>>").alias("ranges"), F.array().cast(f"array<{kind}>").alias("items"),
+        *([F.struct(*carry).alias("carried")] if carry else []),
     )
+    added = StructType.fromDDL("n_words bigint, spans array<struct<a: bigint, b: bigint>>").fields
     known = benchmark.select(F.col(item).alias("i"), F.col(item_text).cast("string").alias("t")).filter("t is not null")
     n = _shards(benchmark, item, item_text, shard_bytes)
     pairs = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
@@ -129,12 +132,16 @@ def decontaminate(
                         spans.append([{"a": at[r["a"]][0], "b": at[r["b"] - 1][1]} for r in old])
                     else:
                         spans.append([])
-                out = {"id": batch.column("id"), "ranges": pa.array(ranges, pairs), "items": pa.array(items, batch.schema.field("items").type)}
-                out |= {"n_words": pa.array(count, pa.int64()), "spans": pa.array(spans, pairs)} if last else {"t": batch.column("t")}
+                out = dict(zip(batch.schema.names, batch.columns))
+                out |= {"ranges": pa.array(ranges, pairs), "items": pa.array(items, batch.schema.field("items").type)}
+                if last:
+                    out |= {"n_words": pa.array(count, pa.int64()), "spans": pa.array(spans, pairs)}
+                    if not carry:
+                        del out["t"]
                 yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
-        shape = f"id {id_kind}, ranges array<struct<a: bigint, b: bigint>>, items array<{kind}>"
-        rows = rows.mapInArrow(run, shape + (", n_words bigint, spans array<struct<a: bigint, b: bigint>>" if last else ", t string"))
+        shape = StructType([f for f in rows.schema.fields if carry or not last or f.name != "t"] + (added if last else []))
+        rows = rows.mapInArrow(run, shape)
         if not last:
             rows = stage(rows, "shard")
     return rows

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from finsieve.llm.common import pieces
 from finsieve.session import stage
@@ -64,17 +65,22 @@ def statistics(text: bytes | None) -> list[float]:
     ]
 
 
-def measured(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, s) for every row: the statistics as an array of doubles."""
-    picked = docs.select(F.col(id).alias("id"), F.col(text).cast("string").cast("binary").alias("t"))
-    kind = picked.schema["id"].dataType.simpleString()
+def measured(docs: DataFrame, id: str, text: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, s) for every row, s the statistics as an array of doubles; with ``carry`` also t, the text, and those columns in ``carried``."""
+    picked = docs.select(
+        F.col(id).alias("id"), F.col(text).cast("string").alias("t"), *([F.struct(*carry).alias("carried")] if carry else [])
+    )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            rows = [statistics(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["id", "s"])
+            rows = [statistics(t.as_buffer().to_pybytes() if t.is_valid else None) for t in batch.column("t")]
+            out = dict(zip(batch.schema.names, batch.columns)) | {"s": pa.array(rows, pa.list_(pa.float64()))}
+            if not carry:
+                del out["t"]
+            yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
-    return picked.mapInArrow(run, f"id {kind}, s array<double>")
+    shape = [f for f in picked.schema.fields if carry or f.name != "t"]
+    return picked.mapInArrow(run, StructType([*shape, StructField("s", ArrayType(DoubleType()))]))
 
 
 Rule = frozenset[tuple[int, str, float]]
@@ -158,11 +164,16 @@ def fit(known: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso: float =
     return RuleModel(float(model.intercept), weights)
 
 
-def score(docs: DataFrame, model: RuleModel, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def score(
+    docs: DataFrame, model: RuleModel, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
     """(id, score, predicted) for every row of ``docs``; predicted is 1 from ``threshold`` on.
 
+    With ``carry`` the rows also have t, the text, and those columns in ``carried``.
+
     Null and empty texts are scored by statistics of zero. Rows that repeat each give a row, a
     null id too; an empty table gives an empty one. Other columns are not touched.
     """
-    scored = measured(docs, id, text).select("id", model.score(F.col("s")).alias("score"))
+    scored = measured(docs, id, text, carry).withColumn("score", model.score(F.col("s"))).drop("s")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

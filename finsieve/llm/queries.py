@@ -94,13 +94,13 @@ with l as (select doc_id, r, i, line, w from (
      f as (select run, min((doc_id, r, i)) as first from k group by run),
      gone as (select distinct k.r, unnest(range(k.i, k.i + k.n)) as i from k join f using (run) where (k.doc_id, k.r, k.i) <> f.first),
      g as (select r, count(*) as n_deleted from gone group by r),
-     kept as (select d.r, string_agg(d.line, chr(10) order by d.i) as text
+     kept as (select d.r, string_agg(d.line, chr(10) order by d.i) as left_over
               from (select r, unnest(range(len(ls))) as i, unnest(ls) as line
                     from (select row_number() over () as r, string_split(text, chr(10)) as ls from documents where text is not null)) d
               anti join gone on d.r = gone.r and d.i = gone.i group by d.r)
-select d.doc_id, cast(case when text is null then 0 else len(string_split(d.text, chr(10))) end as integer) as n_lines,
+select d.doc_id, cast(case when d.text is null then 0 else len(string_split(d.text, chr(10))) end as integer) as n_lines,
        cast(coalesce(n_deleted, 0) as integer) as n_deleted,
-       case when d.text is null then null else coalesce(kept.text, '') end as text
+       case when d.text is null then null else coalesce(left_over, '') end as text
 from (select row_number() over () as r, * from documents) d left join g using (r) left join kept using (r)
 """
 
