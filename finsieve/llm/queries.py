@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from finsieve.llm import op02_packing, op05_simhash, op06_decontaminate, op08_quality, op09_line_dedup
+from finsieve.llm import (
+    op02_packing, op05_simhash, op06_decontaminate, op07_language, op08_quality, op09_line_dedup, op10_neighbours,
+)
 from finsieve.llm.common import held_out, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +111,29 @@ from (select row_number() over () as r, * from documents) d left join g using (r
 def _line_dedup(spark, d):
     done = op09_line_dedup.line_dedup(table(spark, d, "documents"))
     return done.select(F.col("id").alias("doc_id"), "n_lines", F.size("deleted").alias("n_deleted"), "text")
+
+
+@query("op7_language")
+def _language(spark, d):
+    docs = table(spark, d, "documents")
+    known = op07_language.profiles(docs, ~held_out(F.col("doc_id"), 5, 0))
+    found = op07_language.identify(docs, known)
+    return found.select(F.col("id").alias("doc_id"), held_out(F.col("id"), 5, 0).alias("held_out"), "lang_pred", "score")
+
+
+OP10_SQL = """
+with v as (select row_number() over () as r, vec_id, cast(embedding as double[]) as x from embeddings
+           where vec_id is not null and embedding is not null and len(embedding) > 0
+             and len(list_filter(embedding, lambda e: e is null or isnan(e) or isinf(e))) = 0
+             and len(list_filter(embedding, lambda e: e <> 0)) > 0),
+     p as (select q.r, q.vec_id as query_id, c.vec_id, c.r as cr,
+                  sqrt(list_reduce(list_transform(list_zip(q.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])), lambda a, b: a + b)) as score
+           from v q join v c on q.r <> c.r and len(q.x) = len(c.x) where q.vec_id % 100 = 0)
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (select *, row_number() over (partition by r order by score, vec_id, cr) as rank from p) where rank <= 10
+"""
+
+
+@query("op10_neighbours", OP10_SQL)
+def _neighbours(spark, d):
+    return op10_neighbours.neighbours(table(spark, d, "embeddings"))
