@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finsieve.llm import (
-    op02_packing, op05_simhash, op06_decontaminate, op07_language, op08_quality, op09_line_dedup, op10_neighbours,
+    op01_warc, op02_packing, op05_simhash, op06_decontaminate, op07_language, op08_quality, op09_line_dedup, op10_neighbours,
 )
 from finsieve.llm.common import held_out, table
+from finsieve.session import new_path, stage
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -26,6 +27,24 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
     return register
 
 
+OP1_SQL = """
+with p as (select page_id, coalesce(html, '') as h from pages),
+     q as (select page_id, cast(strlen(h) as bigint) as payload_bytes, sha1(h) as payload_digest from p),
+     g as (select payload_digest, max(page_id) as keeper from q where payload_bytes >= 1000 group by 1)
+select page_id, payload_bytes, payload_digest,
+       case when page_id is distinct from keeper and keeper is not null then 'revisit' else 'response' end as record_type,
+       case when page_id is distinct from keeper then keeper end as refers_to
+from q left join g using (payload_digest)
+"""
+
+
+@query("op1_warc", OP1_SQL)
+def _warc(spark, d):
+    path = new_path(spark, "warc")
+    op01_warc.write(table(spark, d, "pages"), path)
+    return op01_warc.payloads(stage(op01_warc.records(spark, path), "records"))
+
+
 @query("op2_best_fit_packing")
 def _packing(spark, d):
     packed = op02_packing.pack_documents(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
