@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finsieve.llm import (
-    op01_warc, op02_packing, op05_simhash, op06_decontaminate, op07_language, op08_quality, op09_line_dedup, op10_neighbours,
+    op01_warc, op02_packing, op03_ctw, op05_simhash, op06_decontaminate, op07_language, op08_quality, op09_line_dedup,
+    op10_neighbours,
 )
 from finsieve.llm.common import held_out, table
 from finsieve.session import new_path, stage
@@ -51,6 +52,12 @@ def _packing(spark, d):
     return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query("op3_context_tree")
+def _context_tree(spark, d):
+    scored = op03_ctw.score(table(spark, d, "documents"), held_out(F.col("doc_id"), 10, 0))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 @query("op5_simhash")
 def _simhash(spark, d):
     found = op05_simhash.near_duplicates(table(spark, d, "documents"))
