@@ -116,10 +116,12 @@ class _Forest:
         self.label = moved[self.label]
 
 
-def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int, screen: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Spanning forest of the links between two tiles of fingerprints, or within one (``b`` None).
 
-    ``a`` and ``b`` hold one row of 64-bit words per fingerprint. Returns positions in a followed by b.
+    ``a`` and ``b`` hold one row of 64-bit words per fingerprint. The first two words are compared for
+    all pairs; pairs up to ``screen`` bits apart there, by default ``radius``, are compared as a
+    whole. Returns positions in a followed by b.
     """
     base = 0 if b is None else len(a)
     other = a if b is None else b
@@ -131,7 +133,7 @@ def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.nda
         far = np.bitwise_count(chunk[:, None, 0] ^ other[None, :, 0])
         if first == 2:
             far = far + np.bitwise_count(chunk[:, None, 1] ^ other[None, :, 1])  # at most 128, fits a byte
-        i, j = np.nonzero(far <= radius)
+        i, j = np.nonzero(far <= (radius if screen is None else screen))
         if words > first:
             far = far[i, j].astype(np.int64)
             for w in range(first, words):
@@ -142,7 +144,7 @@ def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.nda
     return at, forest.label[at]
 
 
-def links(prints: DataFrame, radius: int, words: int = 1, tile: int = 8192) -> DataFrame:
+def links(prints: DataFrame, radius: int, words: int = 1, tile: int = 16384, screen: int | None = None) -> DataFrame:
     """Edges (a, b) that connect the distinct fingerprints ``fp`` as all links within ``radius`` do.
 
     A cell with many fingerprints is cut into tiles of about ``tile``, so no task holds more
@@ -184,7 +186,7 @@ def links(prints: DataFrame, radius: int, words: int = 1, tile: int = 8192) -> D
                 blob = x + (y or b"")
                 a = np.frombuffer(x, ">u8").astype(np.uint64).reshape(-1, words)
                 b = None if y is None else np.frombuffer(y, ">u8").astype(np.uint64).reshape(-1, words)
-                i, j = tile_links(a, b, radius)
+                i, j = tile_links(a, b, radius, screen)
                 froms += [blob[k * width:(k + 1) * width] for k in i.tolist()]
                 tos += [blob[k * width:(k + 1) * width] for k in j.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(froms, pa.binary()), pa.array(tos, pa.binary())], names=["a", "b"])
@@ -193,25 +195,27 @@ def links(prints: DataFrame, radius: int, words: int = 1, tile: int = 8192) -> D
 
 
 def near_duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2, words: int = 1, tile: int = 8192
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2, words: int = 1, tile: int = 16384,
+    screen: int | None = None,
 ) -> DataFrame:
     """(id, fp, component) for every row of ``docs``; component is the smallest id reachable over links.
 
     A text without words (null, empty, blank) has the fingerprint zero and is linked like any
     other. Rows that repeat, also with the same id, each give a row. A null id is never a
     component unless the whole component has null ids. An empty table gives an empty one.
-    Other columns of ``docs`` are not touched. ``words`` 64-bit words make one fingerprint.
+    Other columns of ``docs`` are not touched. ``words`` 64-bit words make one fingerprint; without
+    ``screen`` (see ``tile_links``) the comparison is exact.
     """
     prints = stage(fingerprints(docs, id, text, shingle, words), "prints")
     reps = prints.groupBy("fp").agg(F.min("id").alias("low"))
-    roots = components(links(prints, radius, words, tile)).withColumnRenamed("node", "fp")
+    roots = components(links(prints, radius, words, tile, screen)).withColumnRenamed("node", "fp")
     classes = stage(reps.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root")), "classes")
     lows = classes.groupBy("root").agg(F.min("low").alias("component"))
     named = classes.join(lows, "root").select("fp", "component")
     return prints.join(named, "fp").select("id", "fp", "component")
 
 
-def radius_for(similarity: float, bits: int) -> int:
-    """Differing bits expected of two shingle sets at this Jaccard similarity and about equal size."""
-    cosine = 2 * similarity / (1 + similarity)
-    return math.floor(bits * math.acos(cosine) / math.pi)
+def radius_for(similarity: float, bits: int, errors: float = 1) -> int:
+    """Differing bits expected of two shingle sets of this Jaccard similarity and about equal size, and ``errors`` standard errors."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.floor(bits * share + errors * math.sqrt(bits * share * (1 - share)))
