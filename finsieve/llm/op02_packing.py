@@ -14,6 +14,7 @@ import bisect
 import os
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -87,6 +88,12 @@ class Encoder:
         return b"".join(found)
 
 
+@lru_cache(maxsize=1)
+def _encoder(file: str) -> Encoder:
+    """One per worker process, so that the tasks it runs share the cache of words."""
+    return Encoder(file)
+
+
 def pieces(
     docs: DataFrame, file: str, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, keep_ids: bool = True
 ) -> DataFrame:
@@ -99,7 +106,7 @@ def pieces(
     kind = picked.schema["id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(file), np.array([END], "<u4").tobytes()
+        encoder, end = _encoder(file), np.array([END], "<u4").tobytes()
         uid = TaskContext.get().partitionId() << 36
         for batch in slices(batches, 4 << 20):
             at, number, start, length, crc, blobs = [], [], [], [], [], []
