@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finsieve.llm import (
-    op01_warc, op02_packing, op03_ctw, op05_simhash, op06_decontaminate, op07_language, op08_quality, op09_line_dedup,
+    op01_warc, op02_packing, op03_ctw, op04_substring, op05_simhash, op06_decontaminate, op07_language, op08_quality, op09_line_dedup,
     op10_neighbours,
 )
 from finsieve.llm.common import held_out, table
@@ -58,6 +58,11 @@ def _context_tree(spark, d):
     return scored.withColumnRenamed("id", "doc_id")
 
 
+@query("op4_collinear_chains")
+def _chains(spark, d):
+    return op04_substring.passages(table(spark, d, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op5_simhash")
 def _simhash(spark, d):
     found = op05_simhash.near_duplicates(table(spark, d, "documents"))
