@@ -8,8 +8,10 @@ a decision's probability mixes the estimates of all depths by the weights that t
 Counts of byte n-grams (the deepest context and the byte behind it) hold all that is needed. They
 are summed over the corpus, and a subtree is all n-grams that share the last two context bytes; the
 two depths above are tables bounded by the alphabet. A document's code length is a sum over its
-n-grams. Documents are dealt into blocks; each block gets the part of the model that it needs by
-a join, so the model may grow with the corpus and is never broadcast.
+n-grams. Documents are dealt into blocks; each block gets the part of the model that it needs, so
+the model may grow with the corpus and is never broadcast. What is exchanged is packed: the sorted
+keys of a block, n-grams or word hashes, travel as one value per bucket of keys, and the number
+of buckets grows with the corpus, so that a bucket's share stays the same.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,10 +30,11 @@ from finsieve.llm.common import pieces
 from finsieve.session import stage
 
 DEPTH = 5
-#: Text bytes in a block, and n-grams that are sorted at a time.
-BLOCK, CHUNK = 16 << 20, 2 << 20
+#: Text bytes in a block, n-grams that are sorted at a time, and text bytes of the corpus per bucket of keys.
+BLOCK, CHUNK, BUCKET = 16 << 20, 2 << 20, 8 << 20
 END = b"\n"
-_MODEL = "block bigint, word binary, gram bigint, n bigint"
+GRAM, WORD = 0, 1
+_PACKED = "block bigint, kind int, bucket int, size bigint, keys binary, n binary"
 
 
 def sequence(text: bytes | None) -> tuple[list[bytes], bytes]:
@@ -63,34 +67,63 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return unique, np.bincount(at, weights=n, minlength=len(unique)).astype(np.int64)
 
 
-def block_counts(texts: list[bytes], learn: list[bool], depth: int) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
-    """Words and n-grams of a block, each with its count in the texts that are learned from."""
-    words: dict[bytes, int] = {}
-    parts: list[tuple[np.ndarray, np.ndarray]] = []
-    batch: dict[bool, list[bytes]] = {True: [], False: []}
+def word_keys(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words; the end counts as a word."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
-    def flush(kind: bool) -> None:
-        key = grams(batch[kind], depth)[0]
-        for start in range(0, len(key), CHUNK):
-            unique, n = np.unique(key[start:start + CHUNK], return_counts=True)
-            parts.append((unique, n if kind else np.zeros_like(n)))
-        batch[kind].clear()
-        if len(parts) > 8:
-            parts[:] = [_merged(parts)]
 
-    for text, kind in zip(texts, learn):
+def block_counts(texts: list[bytes], learn: list[bool], depth: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """(keys, counts) of a block's n-grams and words; the counts are those in texts that are learned from."""
+    parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {GRAM: [], WORD: []}
+    held: dict[bool, tuple[list[bytes], list[bytes]]] = {True: ([], []), False: ([], [])}
+
+    def flush(learned: bool) -> None:
+        lines, words = held[learned]
+        for kind, key in ((GRAM, grams(lines, depth)[0]), (WORD, word_keys(words))):
+            for start in range(0, len(key), CHUNK):
+                unique, n = np.unique(key[start:start + CHUNK], return_counts=True)
+                parts[kind].append((unique, n if learned else np.zeros_like(n)))
+            if len(parts[kind]) > 8:
+                parts[kind] = [_merged(parts[kind])]
+        lines.clear()
+        words.clear()
+
+    for text, learned in zip(texts, learn):
         tokens, line = sequence(text)
-        one = int(kind)
-        for w in tokens:
-            words[w] = words.get(w, 0) + one
-        words[END] = words.get(END, 0) + one
-        batch[kind].append(line)
-        if sum(map(len, batch[kind][-1:])) > CHUNK or len(batch[kind]) >= 512:
-            flush(kind)
-    for kind in (True, False):
-        if batch[kind]:
-            flush(kind)
-    return words, *_merged(parts)
+        lines, words = held[learned]
+        lines.append(line)
+        words += tokens
+        words.append(END)
+        if len(lines) >= 256 or len(line) > CHUNK:
+            flush(learned)
+    for learned in (True, False):
+        if held[learned][0]:
+            flush(learned)
+    return {kind: _merged(p) for kind, p in parts.items()}
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
+def by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places of its keys in order) of every bucket that has keys."""
+    bucket = bucket_of(keys, buckets)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    for at in np.split(order, cuts) if len(order) else ():
+        yield int(bucket[at[0]]), at
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """An array of 8-byte numbers, byte by byte of the same weight, compressed."""
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def expanded(blob: bytes, kind: type) -> np.ndarray:
+    flat = np.frombuffer(zstandard.decompress(blob), np.uint8)
+    return np.ascontiguousarray(flat.reshape(8, -1).T).view(kind).ravel()
 
 
 def _ln_gamma(x: np.ndarray) -> np.ndarray:
@@ -193,133 +226,190 @@ def finished(gram: np.ndarray, p: np.ndarray, tables: tuple[np.ndarray, ...]) ->
 
 
 def _blocks(docs: DataFrame, id: str, text: str, held: Column, block: int) -> DataFrame:
-    """(id, held, t, block): rows as they are read, with a new block after every ``block`` bytes of text."""
+    """(id, held, t, block): rows as they are read, with a new block after every ``block`` bytes of text; t is compressed."""
     picked = docs.select(F.col(id).alias("id"), held.alias("held"), F.col(text).cast("string").cast("binary").alias("t"))
     kind = picked.schema["id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, size = TaskContext.get().partitionId() << 24, 0
+        pack = zstandard.ZstdCompressor(3).compress
         for batch in pieces(batches, 1 << 20):
             size += batch.nbytes
             if size > block:
                 now, size = now + 1, batch.nbytes
+            small = pa.array([pack(t or b"") for t in batch.column(2).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([now] * batch.num_rows, pa.int64())], names=["id", "held", "t", "block"]
+                [batch.column(0), batch.column(1), small, pa.array([now] * batch.num_rows, pa.int64())], names=["id", "held", "t", "block"]
             )
 
     return stage(picked.mapInArrow(run, f"id {kind}, held boolean, t binary, block bigint"), "blocks")
 
 
-def _counted(rows: DataFrame, depth: int) -> DataFrame:
-    """(block, word, gram, n): the distinct words and n-grams of each block, as far as one task reads it."""
-
-    def emit(block: int, texts: list[bytes], learn: list[bool]) -> pa.RecordBatch:
-        words, gram, n = block_counts(texts, learn, depth)
-        a, b = len(words), len(gram)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([block] * (a + b), pa.int64()), pa.array([*words, *[None] * b], pa.binary()),
-             pa.concat_arrays([pa.nulls(a, pa.int64()), pa.array(gram, pa.int64())]),
-             pa.concat_arrays([pa.array(words.values(), pa.int64()), pa.array(n, pa.int64())])],
-            names=["block", "word", "gram", "n"],
-        )
+def _counted(rows: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """(block, kind, bucket, size, keys, n): the distinct keys of each block, as far as one task reads it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         flat = (row for b in pieces(batches) for row in zip(*(b.column(c).to_pylist() for c in ("block", "t", "held"))))
         for block, group in groupby(flat, key=lambda r: r[0]):
             texts, learn = [], []
             for _, t, held in group:
-                texts.append(t)
+                texts.append(unpack(t))
                 learn.append(not held)
-            yield emit(block, texts, learn)
+            out = []
+            for kind, (keys, n) in block_counts(texts, learn, depth).items():
+                out += [(block, kind, b, len(at), squeezed(keys[at]), squeezed(n[at])) for b, at in by_bucket(keys, buckets)]
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["block", "kind", "bucket", "size", "keys", "n"]
+            )
 
-    return stage(rows.select("block", "t", "held").mapInArrow(run, _MODEL), "counts")
+    return stage(rows.select("block", "t", "held").mapInArrow(run, _PACKED), "counts")
 
 
-def _trained(counts: DataFrame, depth: int) -> DataFrame:
-    """(gram, logp) of every n-gram that any document holds."""
-    total = counts.filter("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
-    shape = "gram bigint, p array<float>, node int, zeros bigint, ones bigint, weighted double"
+def _totals(counts: DataFrame) -> DataFrame:
+    """(kind, bucket, keys, n, total, known): each bucket's keys over all blocks, the sum of counts and how many are above 0."""
 
-    def tree(rows: pa.Table) -> pa.Table:
-        gram, n = rows.column("gram").to_numpy(), rows.column("n").to_numpy()
-        p, nodes = subtree(gram, n, depth)
-        a, b = len(gram), len(nodes["node"])
-        last = (nodes["node"] >> 8 & 255) << 8 | nodes["node"] & 255  # the last byte and the decisions
-        chances = pa.ListArray.from_arrays(pa.array(np.arange(0, 8 * a + 8, 8), pa.int32()), pa.array(p.ravel(), pa.float32()))
+    def merge(rows: pa.Table) -> pa.Table:
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        for keys, n in zip(rows.column("keys"), rows.column("n")):
+            parts.append((expanded(keys.as_py(), np.int64), expanded(n.as_py(), np.int64)))
+            if sum(len(p[0]) for p in parts[1:]) > max(CHUNK, len(parts[0][0])):
+                parts = [_merged(parts)]
+        keys, n = _merged(parts)
         return pa.table({
-            "gram": pa.concat_arrays([pa.array(gram), pa.nulls(b, pa.int64())]),
-            "p": pa.concat_arrays([chances, pa.nulls(b, pa.list_(pa.float32()))]),
-            "node": pa.concat_arrays([pa.nulls(a, pa.int32()), pa.array(last, pa.int32())]),
-            **{c: pa.concat_arrays([pa.nulls(a, pa.int64()), pa.array(nodes[c], pa.int64())]) for c in ("zeros", "ones")},
-            "weighted": pa.concat_arrays([pa.nulls(a, pa.float64()), pa.array(nodes["weighted"])]),
+            "kind": rows.column("kind")[:1], "bucket": rows.column("bucket")[:1], "keys": pa.array([squeezed(keys)], pa.binary()),
+            "n": pa.array([squeezed(n)], pa.binary()), "total": pa.array([int(n.sum())]), "known": pa.array([int((n > 0).sum())]),
         })
 
-    grown = stage(total.groupBy(F.shiftright("gram", 8).bitwiseAND(0xFFFF)).applyInArrow(tree, shape), "trees")
-    nodes = grown.filter("node is not null").groupBy("node").agg(F.sum("zeros"), F.sum("ones"), F.sum("weighted"))
-    tables = counts.sparkSession.sparkContext.broadcast(top_tables([tuple(r) for r in nodes.collect()]))  # under 65,536 rows
+    shape = "kind int, bucket int, keys binary, n binary, total bigint, known bigint"
+    return stage(counts.groupBy("kind", "bucket").applyInArrow(merge, shape), "totals")
+
 
-    def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _model(totals: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """(kind, bucket, keys, value) of the log10 probabilities of all n-grams, in parts that share two context bytes."""
+
+    def unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gram = batch.column("gram").to_numpy()
-            p = batch.column("p").flatten().to_numpy().astype(float).reshape(-1, 8)
-            yield pa.RecordBatch.from_arrays([batch.column("gram"), pa.array(finished(gram, p, tables.value))], names=["gram", "logp"])
+            for keys, n in zip(batch.column("keys"), batch.column("n")):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(expanded(keys.as_py(), np.int64)), pa.array(expanded(n.as_py(), np.int64))], names=["gram", "n"]
+                )
 
-    return grown.filter("gram is not null").select("gram", "p").mapInArrow(finish, "gram bigint, logp double")
+    flat = totals.filter(F.col("kind") == GRAM).select("keys", "n").mapInArrow(unpacked, "gram bigint, n bigint")
+    trees = flat.groupBy(F.shiftright("gram", 8).bitwiseAND(0xFFFF))
+
+    def summed(rows: pa.Table) -> pa.Table:
+        _, nodes = subtree(rows.column("gram").to_numpy(), rows.column("n").to_numpy(), depth)
+        last = (nodes["node"] >> 8 & 255) << 8 | nodes["node"] & 255  # the last byte and the decisions
+        return pa.table({"node": pa.array(last, pa.int32()), **{c: pa.array(nodes[c]) for c in ("zeros", "ones", "weighted")}})
+
+    nodes = trees.applyInArrow(summed, "node int, zeros bigint, ones bigint, weighted double")
+    upper = nodes.groupBy("node").agg(F.sum("zeros"), F.sum("ones"), F.sum("weighted")).collect()  # under 65,536 rows
+    tables = totals.sparkSession.sparkContext.broadcast(top_tables([tuple(r) for r in upper]))
+
+    def finish(rows: pa.Table) -> pa.Table:
+        gram = rows.column("gram").to_numpy()
+        p, _ = subtree(gram, rows.column("n").to_numpy(), depth)
+        logp = finished(gram, p, tables.value)
+        out = [(GRAM, b, squeezed(gram[at]), squeezed(logp[at])) for b, at in by_bucket(gram, buckets)]
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["kind", "bucket", "keys", "value"])
+
+    return trees.applyInArrow(finish, "kind int, bucket int, keys binary, value binary")
+
+
+def _returned(counts: DataFrame, model: DataFrame) -> DataFrame:
+    """(block, kind, keys, value): every block's keys with their values in the model."""
+
+    def look(rows: pa.Table, model: pa.Table) -> pa.Table:
+        out = []
+        if model.num_rows:
+            keys = np.concatenate([expanded(k.as_py(), np.int64) for k in model.column("keys")])
+            value = np.concatenate([expanded(v.as_py(), np.float64) for v in model.column("value")])
+            order = np.argsort(keys)
+            keys, value = keys[order], value[order]
+            for block, kind, own in zip(rows.column("block"), rows.column("kind"), rows.column("keys")):
+                own = own.as_py()
+                out.append((block.as_py(), kind.as_py(), own, squeezed(value[np.searchsorted(keys, expanded(own, np.int64))])))
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 4, kinds)], names=["block", "kind", "keys", "value"])
+
+    by = ("kind", "bucket")
+    return counts.select("block", "kind", "bucket", "keys").groupBy(*by).cogroup(model.groupBy(*by)).applyInArrow(
+        look, "block bigint, kind int, keys binary, value binary"
+    )
 
 
 def score(
-    docs: DataFrame, held: Column, id: str = "doc_id", text: str = "text", depth: int = DEPTH, block: int = BLOCK
+    docs: DataFrame, held: Column, id: str = "doc_id", text: str = "text", depth: int = DEPTH, block: int = BLOCK, bucket: int = BUCKET
 ) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
     Rows where ``held`` is false are learned from. Words are lower-cased (A-Z) and parted by ASCII white
     space; one end follows. ``score`` is the log10 probability of words joined by a blank and the
-    end, ``base_score`` that of a unigram model smoothed by 0.1. A null or wordless text is the end alone.
-    Rows that repeat count and score as rows; without any row to learn from every decision has
-    chance one half. An empty table gives an empty one; other columns are ignored. ``depth`` up to 6.
+    end, ``base_score`` that of a unigram model smoothed by 0.1; its words are told apart by 64-bit
+    hashes. A null or wordless text is the end alone. Rows that repeat count and score as rows; without
+    any row to learn from every decision has chance one half. An empty table gives an empty one;
+    other columns are ignored. ``depth`` is from 2 to 6.
     """
+    size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+    buckets = int(size // bucket) + 1
     rows = _blocks(docs, id, text, held, block)
-    counts = _counted(rows, depth)
-    words = stage(counts.filter("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "words")
-    tokens, kinds = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    model = counts.filter("word is not null").select("block", "word").distinct().join(words, "word").select(
-        "block", "word", "c", F.lit(None).cast("bigint").alias("gram"), F.lit(None).cast("double").alias("logp")
-    ).unionByName(
-        counts.filter("gram is not null").select("block", "gram").distinct().join(_trained(counts, depth), "gram").select(
-            "block", F.lit(None).cast("binary").alias("word"), F.lit(None).cast("bigint").alias("c"), "gram", "logp"
-        )
+    counts = _counted(rows, depth, buckets)
+    totals = _totals(counts)
+    words = totals.filter(F.col("kind") == WORD)
+    tokens, kinds = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
+
+    def floats(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = [squeezed(expanded(n.as_py(), np.int64).astype(np.float64)) for n in batch.column("value")]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(value, pa.binary())], names=batch.schema.names)
+
+    shape = "kind int, bucket int, keys binary, value binary"
+    model = _model(totals, depth, buckets).unionByName(
+        words.select("kind", "bucket", "keys", F.col("n").alias("value")).mapInArrow(floats, shape)
     )
+    back = _returned(counts, model)
     kind = rows.schema["id"].dataType.simpleString()
 
     def apply(docs: pa.Table, model: pa.Table) -> pa.Table:
-        is_word = model.column("word").is_valid()
-        known = model.filter(is_word)
-        count = dict(zip(known.column("word").to_pylist(), known.column("c").to_pylist()))
-        worth = {w: np.log10((c + 0.1) / (tokens + 0.1 * (kinds + 1))) for w, c in count.items()}
-        rest = model.filter(pc.invert(is_word))
-        gram, logp = rest.column("gram").to_numpy(), rest.column("logp").to_numpy()
-        order = np.argsort(gram)
-        gram, logp = gram[order], logp[order]
-        n_tokens, n_known, base, score, lines = [], [], [], [], []
+        known = {}
+        for which in (GRAM, WORD):
+            at = np.flatnonzero(model.column("kind").to_numpy() == which)
+            part = model.take(pa.array(at))
+            keys = np.concatenate([expanded(k.as_py(), np.int64) for k in part.column("keys")])
+            value = np.concatenate([expanded(v.as_py(), np.float64) for v in part.column("value")])
+            order = np.argsort(keys)
+            known[which] = keys[order], value[order]
+        unpack = zstandard.ZstdDecompressor().decompress
+        n_tokens, n_known, base, score, lines, words = [], [], [], [], [], []
 
         def flush() -> None:
-            if lines:
-                key, start = grams(lines, depth)
-                score.extend(np.add.reduceat(logp[np.searchsorted(gram, key)], start).tolist())
-                lines.clear()
-
-        held = 0
+            if not lines:
+                return
+            key, start = grams(lines, depth)
+            keys, value = known[GRAM]
+            score.extend(np.add.reduceat(value[np.searchsorted(keys, key)], start).tolist())
+            keys, value = known[WORD]
+            count = value[np.searchsorted(keys, word_keys(words))]
+            start = np.concatenate([[0], np.cumsum(n_tokens[len(base):])[:-1]]).astype(np.int64)
+            n_known.extend(np.add.reduceat((count > 0).astype(np.int64), start).tolist())
+            base.extend(np.add.reduceat(np.log10((count + 0.1) / (tokens + 0.1 * (kinds + 1))), start).tolist())
+            lines.clear()
+            words.clear()
+
+        size = 0
         for t in docs.column("t"):
-            words, line = sequence(t.as_buffer().to_pybytes() if t.is_valid else None)
+            own, line = sequence(unpack(t.as_py()))
+            n_tokens.append(len(own) + 1)
+            words += own
             words.append(END)
-            n_tokens.append(len(words))
-            n_known.append(sum(map(bool, map(count.__getitem__, words))))
-            base.append(float(sum(map(worth.__getitem__, words))))
             lines.append(line)
-            held += len(line)
-            if held > CHUNK:
+            size += len(line)
+            if size > CHUNK:
                 flush()
-                held = 0
+                size = 0
         flush()
         return pa.table({
             "id": docs.column("id"), "held_out": docs.column("held"), "n_tokens": pa.array(n_tokens, pa.int64()),
@@ -327,6 +417,6 @@ def score(
             "base_score": pa.array(base, pa.float64()), "score": pa.array(score, pa.float64()),
         })
 
-    return rows.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(
+    return rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         apply, f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     )
