@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_MADE: dict[str, list[str]] = {}
 
 
 def local_session(cpus: str | int = "*", name: str = "finsieve", **conf: str) -> SparkSession:
@@ -48,7 +49,24 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other table uses."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    made(spark).append(path)
+    return path
+
+
+def made(spark: SparkSession) -> list[str]:
+    """The paths that ``new_path`` gave this application and that are not dropped, oldest first."""
+    return _MADE.setdefault(spark.sparkContext.applicationId, [])
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables under paths that ``new_path`` gave; what reads them must be done by then."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        if path in made(spark):
+            made(spark).remove(path)
+            there = jvm.org.apache.hadoop.fs.Path(path)
+            there.getFileSystem(conf).delete(there, True)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
