@@ -144,7 +144,7 @@ def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int, screen: int | N
     return at, forest.label[at]
 
 
-def links(prints: DataFrame, radius: int, words: int = 1, tile: int = 16384, screen: int | None = None) -> DataFrame:
+def links(prints: DataFrame, radius: int, words: int = 1, tile: int = 8192, screen: int | None = None) -> DataFrame:
     """Edges (a, b) that connect the distinct fingerprints ``fp`` as all links within ``radius`` do.
 
     A cell with many fingerprints is cut into tiles of about ``tile``, so no task holds more
@@ -170,12 +170,21 @@ def links(prints: DataFrame, radius: int, words: int = 1, tile: int = 16384, scr
         .select("cell", "part", "parts", F.unhex("blob").alias("blob")),
         "tiles",
     )
+    # Pairs of tiles are found by their cells alone. The blobs are joined on afterwards; which of the two joins last
+    # alternates, so that the pairs of every tile spread over both its partners' tasks.
     near = F.array(*[F.array(*[F.lit(x) for x in o]) for o in offsets])
-    left = tiles.select(F.col("cell").alias("c"), F.col("part").alias("p"), F.col("blob").alias("x"), F.explode(near).alias("o"))
-    left = left.select("c", "p", "x", F.zip_with("c", "o", lambda u, v: u + v).alias("cell"))
-    pairs = left.join(tiles.select("cell", "part", F.col("blob").alias("y")), "cell").filter(
-        (F.col("c") != F.col("cell")) | (F.col("p") <= F.col("part"))
-    ).select("x", F.when((F.col("c") != F.col("cell")) | (F.col("p") != F.col("part")), F.col("y")).alias("y"))
+    keys = tiles.select("cell", "part")
+    left = keys.select(F.col("cell").alias("c"), F.col("part").alias("p"), F.explode(near).alias("o"))
+    met = left.select("c", "p", F.zip_with("c", "o", lambda u, v: u + v).alias("cell")).join(keys, "cell").filter(
+        "c != cell or p <= part"
+    )
+    one, two = F.struct(F.col("c").alias("cell"), F.col("p").alias("part")), F.struct("cell", "part")
+    odd = F.pmod(F.xxhash64("c", "p") + F.xxhash64("cell", "part"), F.lit(2)) == 1
+    met = stage(met.select(F.when(odd, one).otherwise(two).alias("first"), F.when(odd, two).otherwise(one).alias("last")), "pairs")
+    blobs = tiles.select(F.struct("cell", "part").alias("key"), "blob")
+    pairs = met.join(blobs.select(F.col("key").alias("first"), F.col("blob").alias("x")), "first").join(
+        blobs.select(F.col("key").alias("last"), F.col("blob").alias("y")), "last"
+    ).select("x", F.when(F.col("first") != F.col("last"), F.col("y")).alias("y"))
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = 8 * words
@@ -195,7 +204,7 @@ def links(prints: DataFrame, radius: int, words: int = 1, tile: int = 16384, scr
 
 
 def near_duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2, words: int = 1, tile: int = 16384,
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2, words: int = 1, tile: int = 8192,
     screen: int | None = None,
 ) -> DataFrame:
     """(id, fp, component) for every row of ``docs``; component is the smallest id reachable over links.

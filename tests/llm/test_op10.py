@@ -27,8 +27,8 @@ def test_all_kinds_of_rows(spark):
     rng = np.random.default_rng(8)
     base = rng.normal(size=(300, 6)).astype(np.float32)
     rows = [(i, base[i % 250].tolist()) for i in range(300)]
-    rows += [(10, base[3].tolist()), (10, base[3].tolist()), (400, [1e30, -1e30, 0.0, 0.0, 0.0, 1.0]), (500, [1.0, 2.0]), (510, [1.0, 2.5]), (501, [2.0, 2.0])]
-    rows += [(600, None), (601, []), (602, [0.0] * 6), (603, [1.0, None, 1, 1, 1, 1]), (604, [float("nan")] * 6), (605, [float("inf")] * 6), (None, base[0].tolist())]
+    rows += [(10, base[3].tolist()), (10, base[3].tolist()), (400, [2.0**100, -(2.0**100), 0.0, 0.0, 0.0, 1.0]), (500, [1.0, 2.0]), (510, [1.0, 2.5]), (501, [2.0, 2.0])]
+    rows += [(600, None), (601, []), (602, [0.0] * 6), (603, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (604, [float("nan")] * 6), (605, [float("inf")] * 6), (None, base[0].tolist())]
     frame = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, id string").repartition(5)
     got = sorted(tuple(r) for r in knn.neighbours(frame, k=7, every=10, tile=32, block=64, queries=16).collect())
     assert got == plain(rows, 7, 10)
