@@ -179,7 +179,7 @@ def links(prints: DataFrame, radius: int, words: int = 1, tile: int = 8192, scre
         "c != cell or p <= part"
     )
     one, two = F.struct(F.col("c").alias("cell"), F.col("p").alias("part")), F.struct("cell", "part")
-    odd = F.pmod(F.xxhash64("c", "p") + F.xxhash64("cell", "part"), F.lit(2)) == 1
+    odd = F.xxhash64("c", "p").bitwiseXOR(F.xxhash64("cell", "part")).bitwiseAND(1) == 1
     met = stage(met.select(F.when(odd, one).otherwise(two).alias("first"), F.when(odd, two).otherwise(one).alias("last")), "pairs")
     blobs = tiles.select(F.struct("cell", "part").alias("key"), "blob")
     pairs = met.join(blobs.select(F.col("key").alias("first"), F.col("blob").alias("x")), "first").join(
