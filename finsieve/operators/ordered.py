@@ -1,10 +1,10 @@
 """Ranks, running sums and exact quantiles that never put a large group in one task.
 
-A window over a group runs in one task. Each operator here first checks how many
-rows that would be. Up to ``rows_per_task`` the plain window is used. Beyond it the
-rows are range-partitioned by group and order, stamped with the slice they fell
-into, and written; windows then run per (group, slice) and the slices' totals are
-added as offsets. A group holding a third of the table is spread like any other.
+A window over a group runs in one task. So rows are range-partitioned by group and
+order, stamped with the slice they fell into, and written; windows then run per
+(group, slice) and the totals of a group's earlier slices are added as offsets. A
+group holding a third of the table is spread like any other. There is this one way
+for every size; ``rows_per_task`` only sets how large a slice is.
 """
 
 from __future__ import annotations
@@ -66,27 +66,13 @@ def row_rank(df: DataFrame, keys: Sequence[str], order: Order, out: str,
              rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """1-based position of each row in its group; ``order`` must be unique in a group."""
     keys = list(keys)
-    plain = F.row_number().over(Window.partitionBy(*keys).orderBy(*_sort(order))).cast("long")
-    heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
-    rows = heavy.agg(F.sum("_n")).first()[0]
-    if rows is None:
-        return df.withColumn(out, plain)
-
-    if keys:
-        heavy = stage(heavy, "heavy")
-        named = heavy.select(*[F.col(k).alias("_k_" + k) for k in keys])
-        light = df.join(named, _same(df, named, keys), "left_anti")
-        busy = df.join(named, _same(df, named, keys), "left_semi")
-    else:
-        light, busy = None, df
-    sliced = _sliced(busy, keys, order, rows, rows_per_task)
+    sliced = _sliced(df, keys, order, df.count(), rows_per_task)
     within = Window.partitionBy(*keys, _SLICE).orderBy(*_sort(order))
-    spread = (
+    return (
         _with_slice_totals(sliced, keys, {out: F.lit(1)}, {})
         .withColumn(out, (F.row_number().over(within) + F.col("_o_" + out)).cast("long"))
         .select(*df.columns, out)
     )
-    return spread if light is None else light.withColumn(out, plain).unionByName(spread)
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Order, sums: dict[str, str],
@@ -95,20 +81,12 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Order, sums: dict[st
     """Inclusive running sums along ``order`` plus group totals.
 
     Meant for frames already aggregated to one row per (keys, order). The frame is
-    staged first: its size decides the plan, and its upstream runs only once.
+    staged first, so its upstream runs only once.
     """
     keys, totals = list(keys), totals or {}
     staged, rows = stage_counted(df, "counts")
     sum_cols = {n: F.col(c) for n, c in sums.items()}
     total_cols = {n: F.col(c) for n, c in totals.items()}
-    if rows <= rows_per_task:
-        along = Window.partitionBy(*keys).orderBy(*_sort(order)).rowsBetween(Window.unboundedPreceding, 0)
-        whole = Window.partitionBy(*keys)
-        return staged.select(
-            "*",
-            *[F.sum(c).over(along).alias(n) for n, c in sum_cols.items()],
-            *[F.sum(c).over(whole).alias(n) for n, c in total_cols.items()],
-        )
     sliced = _sliced(staged, keys, order, rows, rows_per_task)
     within = (
         Window.partitionBy(*keys, _SLICE).orderBy(*_sort(order)).rowsBetween(Window.unboundedPreceding, 0)
@@ -140,43 +118,37 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
                     rows_per_task: int = ROWS_PER_TASK, many_groups: bool = False) -> DataFrame:
     """Exact quantiles of ``value`` per group as an array in the order of ``probs``.
 
-    For a few groups (columns, classes, sides) a sketch first brackets each quantile.
-    Values outside every bracket are then only counted, so map-side aggregation leaves
-    a fraction of a percent of the rows to shuffle and order. A bracket that missed
-    shows as a gap and sends the work down the plain way: with many groups, too, it
-    counts every distinct value.
+    A sketch first brackets each quantile. Values outside every bracket are then only
+    counted, so map-side aggregation leaves a fraction of a percent of the rows to
+    shuffle and order. A bracket that missed shows as a gap and sends the work down the
+    plain way, which counts every distinct value. ``many_groups`` takes that way at
+    once; it suits groups of few rows each.
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     if not many_groups:
         found = _bracketed(rows, keys, probs, rows_per_task)
-        if found is not None:
+        if not found.filter(F.exists("quantiles", F.isnull)).limit(1).count():
             return found
     counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
     return quantiles_from_counts(counts, keys, "_v", "_n", probs, rows_per_task)
 
 
 SKETCH_ACCURACY = 10_000
-FEW_GROUPS = 1_000
 
 
-def _bracketed(rows: DataFrame, keys: list[str], probs: Sequence[float], rows_per_task: int) -> DataFrame | None:
-    """Quantiles from bracketed counts; None when a bracket missed or groups are many.
-
-    The brackets and the result are a few numbers per group, for at most FEW_GROUPS
-    groups, and pass through the driver.
-    """
-    spark, margin = rows.sparkSession, 3.0 / SKETCH_ACCURACY
+def _bracketed(rows: DataFrame, keys: list[str], probs: Sequence[float], rows_per_task: int) -> DataFrame:
+    """Quantiles from bracketed counts; null where a bracket missed. The brackets are one row per group."""
+    margin = 3.0 / SKETCH_ACCURACY
     ends = [min(1.0, max(0.0, p + way * margin)) for p in probs for way in (-1, 1)]
     at = ", ".join(f"{e!r}D" for e in ends)
     cuts = [f"_c{i}" for i in range(len(ends))]
     sketch = rows.groupBy(*keys).agg(F.expr(f"percentile_approx(_v, array({at}), {SKETCH_ACCURACY})").alias("_q"))
-    sketch = sketch.selectExpr(*[f"`{k}` as `_k_{k}`" for k in keys], *[f"_q[{i}] as {c}" for i, c in enumerate(cuts)])
-    found = sketch.limit(FEW_GROUPS + 1).collect()
-    if len(found) > FEW_GROUPS:
-        return None
-    brackets = spark.createDataFrame(found, sketch.schema)
-    joined = rows.join(F.broadcast(brackets), _same(rows, brackets, keys))
+    # Written, so that Spark knows the table's size when it picks the join.
+    brackets = stage(
+        sketch.selectExpr(*[f"`{k}` as `_k_{k}`" for k in keys], *[f"_q[{i}] as {c}" for i, c in enumerate(cuts)]), "brackets"
+    )
+    joined = rows.join(brackets, _same(rows, brackets, keys))
     # Even places lie between two neighbouring cuts, odd places on one.
     place = " + ".join(f"int({c} < _v) + int({c} <= _v)" for c in cuts)
     inside = " or ".join(f"_v between {low} and {high}" for low, high in zip(cuts[::2], cuts[1::2]))
@@ -184,11 +156,7 @@ def _bracketed(rows: DataFrame, keys: list[str], probs: Sequence[float], rows_pe
         *keys, F.expr(place).alias("_place"), F.expr(f"case when {inside} then _v end").alias("_x")
     ).groupBy(*keys, "_place", "_x").agg(F.count(F.lit(1)).alias("_n"))
     cum = running_sums(cells, keys, [("_place", "asc"), ("_x", "asc")], {"_cum": "_n"}, {"_all": "_n"}, rows_per_task)
-    result = _read_off(cum, keys, probs, "struct(_place, _x)", "._x")
-    values = result.collect()
-    if any(q is None for row in values for q in row["quantiles"]):
-        return None
-    return spark.createDataFrame(values, result.schema)
+    return stage(_read_off(cum, keys, probs, "struct(_place, _x)", "._x"), "quantiles")
 
 
 def _read_off(cum: DataFrame, keys: list[str], probs: Sequence[float], cell: str, value: str = "") -> DataFrame:

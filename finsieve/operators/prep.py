@@ -26,40 +26,36 @@ def split_by_hash(df: DataFrame, share: float = TEST_SHARE, seed: int = SEED) ->
     )
 
 
-LAST_BUCKET = 100_000
-
-
-def hash_cut(df: DataFrame, n: int, seed: int = SEED) -> tuple[str, int] | None:
-    """The (hash, row_id) of the n-th row in hash order; None when there are fewer rows.
+def hash_cut(df: DataFrame, n: int, seed: int = SEED) -> str | None:
+    """The hash of the n-th row in hash order; None when there are fewer rows.
 
     Counts per three hex digits show which bucket holds that row; the bucket is opened
-    three digits further until few rows are left, and only those are ordered. The
-    passes read nothing but row_id and shuffle at most 4,096 counts per task, so an
-    exact draw of any size becomes a filter.
+    three digits further until it holds one row or one hash. The passes read nothing
+    but row_id and shuffle at most 4,096 counts per task, so an exact draw of any size
+    becomes a filter. Rows that repeat a row_id share a hash and are drawn together.
     """
-    rows = df.select(row_hash("row_id", seed).alias("h"), "row_id")
+    rows = df.select(row_hash("row_id", seed).alias("h"))
     prefix, left = "", n
     while True:
         digit = F.substring("h", len(prefix) + 1, 3)
-        counts = rows.filter(F.col("h").startswith(prefix)).groupBy(digit.alias("d")).count().orderBy("d").collect()
-        for digits, size in counts:
+        counts = rows.filter(F.col("h").startswith(prefix)).groupBy(digit.alias("d")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("h").alias("low"), F.max("h").alias("high")
+        ).orderBy("d").collect()
+        for digits, size, low, high in counts:
             if left <= size:
                 break
             left -= size
         else:
             return None
+        if low == high:
+            return low
         prefix += digits
-        if size <= LAST_BUCKET or len(prefix) > 27:
-            last = rows.filter(F.col("h").startswith(prefix)).orderBy("h", "row_id").limit(left)
-            return tuple(last.agg(F.max(F.struct("h", "row_id"))).first()[0])
 
 
 def first_by_hash(df: DataFrame, n: int, seed: int = SEED) -> Column:
     """Whether a row is among the first ``n`` in hash order."""
-    cut = hash_cut(df, n, seed) if n > 0 else ("", 0)
-    if cut is None:
-        return F.lit(True)
-    return F.struct(row_hash("row_id", seed), "row_id") <= F.struct(F.lit(cut[0]), F.lit(cut[1]).cast("long"))
+    cut = hash_cut(df, n, seed) if n > 0 else ""
+    return F.lit(True) if cut is None else row_hash("row_id", seed) <= F.lit(cut)
 
 
 def split_exact(df: DataFrame, share: float = TEST_SHARE, seed: int = SEED, label: str = TARGET) -> DataFrame:

@@ -276,5 +276,5 @@ def top_cases(scored: DataFrame, threshold: float) -> DataFrame:
     alerts = scored.filter(F.col("score") >= threshold)
     case = F.when(F.col("label") == 1, F.lit("true_positive")).otherwise(F.lit("false_positive"))
     return alerts.groupBy("model", case.alias("case")).agg(
-        F.max_by(F.struct("row_id", "score"), F.struct(F.col("score"), -F.col("row_id"))).alias("r")
+        F.min_by(F.struct("row_id", "score"), F.struct(-F.col("score"), F.col("row_id"))).alias("r")
     ).select("model", "case", "r.*")

@@ -88,8 +88,11 @@ def illicit_entities(df: DataFrame, label: str = TARGET) -> DataFrame:
 
 
 def contingency(df: DataFrame, rows: str, columns: str, values: Sequence[str]) -> DataFrame:
-    """Zero-filled counts of ``rows`` by the listed values of ``columns``."""
-    return df.groupBy(rows).pivot(columns, list(values)).agg(F.count(F.lit(1))).na.fill(0)
+    """Zero-filled counts of ``rows`` by the listed values of ``columns``; ``other`` counts all rows off the list, nulls too."""
+    listed = F.col(columns).isin(*values)
+    return df.groupBy(rows).agg(
+        *[F.count_if(F.col(columns) == v).alias(v) for v in values], F.count_if(~F.coalesce(listed, F.lit(False))).alias("other")
+    )
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -116,9 +119,10 @@ def class_quartiles(df: DataFrame, value: str, label: str = TARGET) -> DataFrame
 def class_histogram(df: DataFrame, value: Column, bins: int, label: str = TARGET) -> DataFrame:
     """Density histogram per class over that class's own range, as a plot would bin it.
 
-    Bins that stay empty are left out.
+    A class with any value has all its bins, empty ones with a count of 0. Labels other than 0 and 1 are
+    no class.
     """
-    rows = df.select(label, value.alias("x"))
+    rows = df.select(label, value.alias("x")).filter(F.col(label).isin(0, 1))
     ends = rows.agg(*[
         f(F.when(F.col(label) == cls, F.col("x"))).alias(f"{name}{cls}")
         for cls in (0, 1) for name, f in (("lo", F.min), ("hi", F.max), ("n", F.count))
@@ -136,7 +140,11 @@ def class_histogram(df: DataFrame, value: Column, bins: int, label: str = TARGET
         total = F.when(here, F.lit(float(ends[f"n{cls}"]))).otherwise(total)
     spot = F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1)).cast("int")
     counts = rows.filter(F.col("x").isNotNull()).groupBy(label, spot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("density", F.col("n") / (total * width))
+    spark = df.sparkSession
+    known = [cls for cls in (0, 1) if ends[f"n{cls}"]]
+    every = spark.createDataFrame([(c, b) for c in known for b in range(bins)], "_label int, bin int")
+    every = every.select(F.col("_label").cast(df.schema[label].dataType).alias(label), "bin")
+    return every.join(counts, [label, "bin"], "left").na.fill(0, ["n"]).withColumn("density", F.col("n") / (total * width))
 
 
 def visual_sample(df: DataFrame, n: int = VISUAL_SAMPLE_ROWS, seed: int = SEED, label: str = TARGET) -> DataFrame:

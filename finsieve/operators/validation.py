@@ -37,9 +37,12 @@ def validate_ledger(df: DataFrame) -> DataFrame:
     missing = missing_columns(df)
     if missing:
         raise SchemaContractError(f"missing required columns: {', '.join(missing)}")
-    bad = [r[0] for r in target_offenders(df).orderBy(F.desc("n")).limit(20).collect()]
-    if bad:
-        raise SchemaContractError(f"{TARGET} must be 0 or 1, found {bad}")
+    bad = target_offenders(df).agg(F.count("*").alias("values"), F.sum("n").alias("rows"), F.min(TARGET).alias("low"), F.max(TARGET).alias("high")).first()
+    if bad["values"]:
+        raise SchemaContractError(
+            f"{TARGET} must be 0 or 1; {bad.rows} rows hold {bad['values']} other values from {bad.low} to {bad.high}; "
+            "target_offenders lists all"
+        )
     wrong = non_numeric_columns(df)
     if wrong:
         raise SchemaContractError(f"columns must be numeric: {', '.join(wrong)}")

@@ -10,7 +10,7 @@ from finsieve.operators import drift as dr, gates, models as md, ranking as rk,
 from finsieve.plans.catalog_ranking import REGRESSION
 from finsieve.plans.registry import EV, EVF, FEAT, THRESHOLD, points, query
 from finsieve.plans.views import (
-    DRIFT_CUT, SHIFT_FROM, SHIFT_TO, drift_current, drift_reference, features, prepared, rule_score, scored,
+    DRIFT_CUT, MISSING_DAY, ROW_NUMBER, SHIFT_FROM, SHIFT_TO, drift_current, drift_reference, features, prepared, rule_score, scored,
 )
 from finsieve.session import new_path, stage
 from finsieve.sources import telemetry as src
@@ -21,13 +21,13 @@ from finsieve.streaming import jobs, policy
 
 
 def _write_defective(spark: SparkSession, sf: str) -> str:
-    """Envelopes of the scored ledger with defects by ``row_id % 97``.
+    """Envelopes of the scored ledger with defects by ``ROW_NUMBER % 97``.
 
     1 no id, 2 empty id, 3 sent twice, 4 two data rows, 5 data is an object, 6 extra field,
     7 missing field, 8 input only, 9 output only, 10 leading byte-order mark, 11 a blank
     line before, 12 numeric id.
     """
-    rows = md.with_contract(features(spark, sf), rule_score("rule_a"), THRESHOLD).withColumn("d", F.col("row_id") % 97)
+    rows = md.with_contract(features(spark, sf), rule_score("rule_a"), THRESHOLD).withColumn("d", F.expr(f"{ROW_NUMBER} % 97"))
     cid = src.correlation_id()
     names = src.REQUEST_NAMES
     cells = [F.col(c).alias(n) for c, n in names.items()]
@@ -68,7 +68,7 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     return src.scan_envelopes(spark, _write_defective(spark, sf))
 
 
-TEL = FEAT + f", t as materialized (select *, row_id % 97 as d, cast({points('rule_a')} as double) / 1000 as score from f)"
+TEL = FEAT + f", t as materialized (select *, {ROW_NUMBER} % 97 as d, cast({points('rule_a')} as double) / 1000 as score from f)"
 # The counts below follow from the defects, without reading any JSON.
 _INPUTS = "count(*) filter (d <> 9) + count(*) filter (d = 3)"
 _OUTPUTS = "count(*) filter (d <> 8)"
@@ -297,27 +297,38 @@ def alert_rate_shift(spark, sf):
 
 WINDOWS = POP + f""", win as materialized (
 select * replace (case when ts >= timestamp '{SHIFT_FROM}' and ts < timestamp '{SHIFT_TO}' then 3 * amount_paid else amount_paid end as amount_paid),
-       date_trunc('day', ts) as window_start from rest)""" + _psi_sql("win", "window_start") + """,
+       date_trunc('day', ts) as window_start from rest where date_trunc('day', ts) <> timestamp '{MISSING_DAY}' and row_id % 50 <> 0)""" + _psi_sql("win", "window_start") + f""",
+rate as (select window_start, abs(100.0e0 * (avg(case when score >= {THRESHOLD} then 1.0e0 else 0 end)
+       - (select avg(case when score >= {THRESHOLD} then 1.0e0 else 0 end) from ref))) >= 1.0e0 as alert_shift from win group by 1),
+health as (select date_trunc('day', ts) as window_start, avg(case when payment_format = 'error' then 1.0e0 else 0 end) >= 0.21e0 as unhealthy from ev group by 1),
 cond as materialized (select window_start, bool_or(feature = 'score' and psi >= 0.25) as prediction_drift, bool_or(feature <> 'score' and psi >= 0.25) as input_drift,
        count(*) filter (feature <> 'score' and signal = 'moderate') >= 2 as several_moderate from report group by 1),
-c2 as materialized (select *, prediction_drift or input_drift or several_moderate as condition from cond),
-persisted as materialized (select *, case when condition then row_number() over (partition by grp, condition order by window_start) else 0 end as streak from (
-  select *, sum(case when condition then 0 else 1 end) over (order by window_start) as grp from c2) x)
+c2 as materialized (select c.*, alert_shift, coalesce(unhealthy, false) as unhealthy,
+       prediction_drift or input_drift or several_moderate or alert_shift or coalesce(unhealthy, false) as condition
+       from cond c join rate using (window_start) left join health using (window_start)),
+persisted as materialized (select a.*, case when not a.condition then 0 else
+       (select count(*) from c2 b where b.window_start <= a.window_start and not exists (
+          select 1 from generate_series(b.window_start, a.window_start, interval 1 day) g(d)
+          where not exists (select 1 from c2 k where k.window_start = g.d and k.condition))) end as streak from c2 a)
 """
 
 
 def _persisted(spark, sf) -> DataFrame:
-    current = drift_current(spark, sf, "windows")
-    return policy.persistence(policy.window_conditions(profile(spark, sf), current))
+    reference = alert_rate_shift(spark, sf).first().reference_alert_rate
+    health = policy.operational_health(requests(prepared(spark, sf, "events")), F.date_trunc("day", "ts"), 0.21)
+    return policy.persistence(policy.window_conditions(
+        profile(spark, sf), drift_current(spark, sf, "windows"), threshold=THRESHOLD, reference_alert_rate=reference,
+        operations=health, controlled=F.col("row_id") % 50 == 0,
+    ))
 
 
 @query("drift_windows", WINDOWS + "select window_start, feature, type, round(psi, 6) as psi, signal, bucket_count from report")
 def drift_windows(spark, sf):
-    return dr.drift_report(profile(spark, sf), drift_current(spark, sf, "windows"), ["window_start"])
+    return dr.drift_report(profile(spark, sf), drift_current(spark, sf, "windows").filter("row_id % 50 != 0"), ["window_start"])
 
 
 @query("drift_persistence", WINDOWS + """
-select window_start, prediction_drift, input_drift, several_moderate, condition, streak, streak >= 3 as investigate from persisted""")
+select window_start, prediction_drift, input_drift, several_moderate, alert_shift, unhealthy, condition, streak, streak >= 3 as investigate from persisted""")
 def drift_persistence(spark, sf):
     return _persisted(spark, sf)
 
@@ -331,8 +342,11 @@ def _after(prefix: str) -> str:
 
 
 @query("retrain_decision", WINDOWS + _after(REGRESSION) + f"""
-select *, drift_sustained and labels_ok and not regression_ok as retrain_eligible, quality_ok and regression_ok as promote
+select *, drift_sustained and labels_ok and (degraded or population_changed) as retrain_eligible, quality_ok and regression_ok as promote
 from (select e.model, (select coalesce(bool_or(streak >= 3), false) from persisted) as drift_sustained,
+       (select coalesce(bool_or(streak >= 3 and input_drift), false) from persisted) as population_changed,
+       (select coalesce(bool_or(relative < -tolerance and metric in ('average_precision', 'precision', 'recall', 'f1_score')), false)
+        from gate where gate.model = e.model) as degraded,
        (select count(*) from scored s where s.model = e.model and s.label = 1) >= {MIN_LABELS} as labels_ok,
        average_precision >= 0.035e0 and recall >= 0.65e0 as quality_ok,
        (select count(*) filter (status = 'regressed') = 0 from gate where gate.model = e.model) as regression_ok from evl e) d""")
@@ -340,7 +354,7 @@ def retrain_decision(spark, sf):
     rows = scored(spark, sf)
     metrics = stage(rk.evaluation(rows), "evaluation")
     long = gates.metrics_long(metrics)
-    verdict = gates.regression_verdict(gates.regression_rows(long, long.filter("model = 'rule_a'")))
+    verdict = gates.regression_rows(long, long.filter("model = 'rule_a'"))
     labels = rows.filter("label = 1").groupBy("model").agg(F.count(F.lit(1)).alias("n_labels"))
     return policy.retrain_decision(_persisted(spark, sf), gates.quality_gate(metrics), verdict, labels, MIN_LABELS)
 
@@ -358,7 +372,7 @@ def arrivals(spark: SparkSession, df: DataFrame, label: str) -> str:
     while start <= last:
         end = start + timedelta(days=SLICE_DAYS)
         part = df.filter((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end)))
-        part.repartition(2, "row_id").write.mode("append").parquet(path)
+        part.repartition("row_id").write.mode("append").parquet(path)
         start = end
     return path
 

@@ -24,6 +24,22 @@ def scan_ledger(spark, sf):
     return dq.validate_ledger(src.parse_timestamps(src.scan_ledger_text(spark, path)))
 
 
+@query("scan_ledger_reordered", TX + """
+select ts, from_bank, account, to_bank, counterparty, round(amount_received, 6) as amount_received, receiving_currency,
+       round(amount_paid, 6) as amount_paid, payment_currency, payment_format, is_laundering from tx""")
+def scan_ledger_reordered(spark, sf):
+    """Text whose columns stand in another order, among others, with the counterparty under a repeated name."""
+    path = new_path(spark, "ledger-text")
+    cells = {n: F.date_format(c, src.LEDGER_TS_FORMAT) if c == "ts" else F.col(c) for n, c in zip(src.LEDGER_HEADER, TX_COLUMNS)}
+    order = sorted(cells, key=lambda n: (n.endswith(".1"), n[::-1]))
+    text = F.to_csv(F.struct(F.lit("x").alias("note"), *[cells[n].alias(n) for n in order], F.lit(1).alias("rank")))
+    head = ",".join(["Note", *[n.removesuffix(".1") for n in order], "Rank"])
+    rows = ledger(spark, sf).select(text.alias("value"))
+    # Every file begins with the header: one line in front of each task's rows.
+    rows.mapInArrow(src.headed(head), "value string").write.text(path)
+    return dq.validate_ledger(src.parse_timestamps(src.scan_ledger_text(spark, path)))
+
+
 @query("prepared_split", FEAT + """
 select split, payment_format, count(*) as n, cast(sum(is_laundering) as bigint) as n_positive
 from f where split = 'train' group by 1, 2""")
@@ -309,7 +325,8 @@ _FORMATS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
 @query("crosstab_same_format", FEAT + "select same_account, " + ", ".join(
-    f"""count(*) filter (payment_format = '{v}') as "{v}" """ for v in _FORMATS) + " from f group by 1")
+    f"""count(*) filter (payment_format = '{v}') as "{v}" """ for v in _FORMATS) + """, count(*) filter (payment_format is null or payment_format not in ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'))
+       as other from f group by 1""")
 def crosstab_same_format(spark, sf):
     return rates.contingency(ft.add_same_account(ledger(spark, sf)), "same_account", "payment_format", _FORMATS)
 
@@ -349,9 +366,11 @@ def quartiles_by_class(spark, sf):
 
 
 @query("hist_amount_by_class", TX + """, v as (select is_laundering, ln(1 + greatest(amount_paid, 0)) as x from tx),
-e as (select is_laundering, min(x) as lo, (max(x) - min(x)) / 60 as w, count(x) as total from v group by 1)
-select is_laundering, cast(least(floor((x - lo) / w), 59) as integer) as bin, count(*) as n, round(count(*) / (total * w), 6) as density
-from v join e using (is_laundering) group by is_laundering, 2, total, w""")
+e as (select is_laundering, min(x) as lo, (max(x) - min(x)) / 60 as w, count(x) as total from v group by 1),
+b as (select is_laundering, w, total, unnest(range(60)) as bin from e),
+h as (select is_laundering, cast(least(floor((x - lo) / w), 59) as bigint) as bin, count(*) as k from v join e using (is_laundering) group by 1, 2)
+select is_laundering, cast(bin as integer) as bin, coalesce(k, 0) as n, round(coalesce(k, 0) / (total * w), 6) as density
+from b left join h using (is_laundering, bin)""")
 def hist_amount_by_class(spark, sf):
     return rates.class_histogram(ledger(spark, sf), log_amount("amount_paid"), 60)
 

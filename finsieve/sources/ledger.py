@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import json
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from finsieve.constants import (
@@ -14,21 +17,66 @@ _TYPES = {
     "from_bank": T.LongType(), "to_bank": T.LongType(),
     "amount_received": T.DoubleType(), "amount_paid": T.DoubleType(), "is_laundering": T.IntegerType(),
 }
-# Canonical names by position: the text header repeats a name, which Spark would rename.
-TEXT_SCHEMA = T.StructType([T.StructField(c, _TYPES.get(c, T.StringType())) for c in TX_COLUMNS])
 CORRUPT = "_corrupt_record"
 
 
+class HeaderError(ValueError):
+    """A ledger file's header lacks columns of the contract, or files disagree; the message names them."""
+
+
+def text_header(spark: SparkSession, path: str) -> list[str]:
+    """The column names of the ledger text under ``path``, a repeated one with ``.1`` behind it.
+
+    All files must have the same header. Only first lines leave the scan.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"))
+    firsts = lines.filter("b = 0").groupBy("f").agg(F.first("value").alias("h")).select("h").distinct().limit(2).collect()
+    if len(firsts) != 1:
+        raise HeaderError("the files have different headers" if firsts else "there is no header")
+    names = next(csv.reader([firsts[0].h.lstrip("\ufeff")]))
+    return [f"{n}.1" if n in names[:i] else n for i, n in enumerate(names)]
+
+
+def text_schema(names: list[str]) -> tuple[T.StructType, dict[str, str]]:
+    """The schema of a file with these column names, and its name for every contract column.
+
+    Columns off the contract are read as text. All missing names are reported at once.
+    """
+    wanted = dict(zip(LEDGER_HEADER, TX_COLUMNS))
+    missing = [n for n in wanted if n not in names]
+    if missing:
+        raise HeaderError(f"missing columns: {', '.join(missing)}")
+    fields = [T.StructField(f"_{i}", _TYPES.get(wanted.get(n, ""), T.StringType())) for i, n in enumerate(names)]
+    return T.StructType(fields), {c: f"_{names.index(n)}" for n, c in wanted.items()}
+
+
 def scan_ledger_text(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
     """Read ledger CSV: a file, a folder or a glob. A path that is not there fails and is named.
 
-    In PERMISSIVE mode rows that do not fit keep their text in ``_corrupt_record``.
-    Timestamps stay text here; ``parse_timestamps`` turns them into values.
+    Columns are found by name in the header, in any order and among others; of a name that
+    the contract has twice the second is the counterparty's. In PERMISSIVE mode rows that do
+    not fit keep their text in ``_corrupt_record``. Timestamps stay text here;
+    ``parse_timestamps`` turns them into values.
     """
-    schema = TEXT_SCHEMA
+    schema, at = text_schema(text_header(spark, path))
+    kept = [F.col(at[c]).alias(c) for c in TX_COLUMNS]
     if mode == "PERMISSIVE":
-        schema = T.StructType([*TEXT_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
-    return spark.read.schema(schema).options(header=True, mode=mode, columnNameOfCorruptRecord=CORRUPT).csv(path)
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        kept.append(F.col(CORRUPT))
+    rows = spark.read.schema(schema).options(header=True, enforceSchema=True, mode=mode, columnNameOfCorruptRecord=CORRUPT)
+    return rows.csv(path).select(*kept)
+
+
+def headed(line: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For ``mapInArrow`` over one text column: put ``line`` in front of each task's rows."""
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = True
+        for batch in batches:
+            if first:
+                yield pa.RecordBatch.from_arrays([pa.array([line], batch.schema.field(0).type)], names=["value"])
+            first = False
+            yield batch
+    return add
 
 
 def parse_timestamps(df: DataFrame, strict: bool = True) -> DataFrame:
@@ -39,18 +87,17 @@ def parse_timestamps(df: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def write_ledger_text(df: DataFrame, path: str, extra: tuple[str, ...] = ()) -> None:
-    """Write ledger CSV under the contract's header."""
+    """Write ledger CSV under the contract's header; ``extra`` columns go first."""
     cells = [F.date_format(c, LEDGER_TS_FORMAT) if c == "ts" else F.col(c) for c in TX_COLUMNS]
-    header = [f"{n}.1" if n in LEDGER_HEADER[:i] else n for i, n in enumerate(LEDGER_HEADER)]
-    df.select(*[c.alias(n) for c, n in zip(cells, header)], *extra).write.option("header", True).csv(path)
+    df.select(*extra, *[c.alias(n) for c, n in zip(cells, LEDGER_HEADER)]).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_prepared(df: DataFrame, path: str) -> None:
     """Write the split table partitioned by ``split``, so a fold is read by partition pruning.
 
-    Rows go to files by split and a hash of row_id: many tasks share each fold.
+    Every task writes its rows of each fold; a table that is there is replaced.
     """
-    df.write.partitionBy("split").parquet(path)
+    df.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
 def read_prepared(spark: SparkSession, path: str, fold: str | None = None) -> DataFrame:
@@ -94,11 +141,11 @@ ROW_LEVEL_COLUMNS = frozenset({"row_id", "correlationid", "account", "counterpar
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """Write an aggregate frame as JSON; frames with row-level columns are refused."""
+    """Write an aggregate frame as JSON in place of an older one; frames with row-level columns are refused."""
     found = sorted(set(_names(df.schema)) & ROW_LEVEL_COLUMNS)
     if found:
         raise AggregateOnlyError(f"reports hold aggregates only, found {found}")
-    df.coalesce(1).write.json(path)
+    df.write.mode("overwrite").json(path)
 
 
 def _names(schema: T.DataType) -> list[str]:

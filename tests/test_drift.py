@@ -87,20 +87,34 @@ def test_windows_equal_separate_reports(spark):
 
 def test_persistence(spark):
     flags = [False, True, True, False, True, True, True, True, False]
-    df = spark.createDataFrame(list(enumerate(flags)), "window_start int, condition boolean")
+    days = spark.createDataFrame(list(enumerate(flags)), "d int, condition boolean")
+    df = days.select(F.expr("timestamp'2024-01-01' + make_interval(0, 0, 0, d)").alias("window_start"), "condition")
     got = [(r.streak, r.investigate) for r in policy.persistence(df).orderBy("window_start").collect()]
     assert [s for s, _ in got] == [0, 1, 2, 0, 1, 2, 3, 4, 0]
     assert [i for _, i in got] == [False] * 6 + [True, True, False]
 
 
+def test_a_missing_window_ends_a_run(spark):
+    days = spark.createDataFrame([(1,), (5,), (6,), (20,)], "d int")
+    df = days.select(F.expr("timestamp'2024-01-01' + make_interval(0, 0, 0, d)").alias("window_start"), F.lit(True).alias("condition"))
+    assert [r.streak for r in policy.persistence(df).orderBy("window_start").collect()] == [1, 1, 2, 1]
+    longer = policy.persistence(df.filter("window_start > timestamp'2024-01-03'"), every="14 days")
+    assert [r.streak for r in longer.orderBy("window_start").collect()] == [1, 1, 1]
+
+
 def test_retraining_needs_every_condition(spark):
     quality = spark.createDataFrame([("m", True)], "model string, passed boolean")
-    worse = spark.createDataFrame([("m", False)], "model string, passed boolean")
+    gate = lambda relative: spark.createDataFrame(
+        [("m", "average_precision", relative, 0.05, "ok" if abs(relative) <= 0.05 else "regressed"), ("m", "threshold", 0.0, 0.05, "ok")],
+        "model string, metric string, relative double, tolerance double, status string")
+    same, worse, better = gate(0.0), gate(-0.06), gate(0.06)
     labels = spark.createDataFrame([("m", 50)], "model string, n_labels long")
-    seen = lambda flag: spark.createDataFrame([(flag,)], "investigate boolean")
+    seen = lambda flag, inputs=False: spark.createDataFrame([(flag, inputs)], "investigate boolean, input_drift boolean")
     decide = lambda *a: policy.retrain_decision(*a).first()
     assert decide(seen(True), quality, worse, labels, 50).retrain_eligible
     assert not decide(seen(False), quality, worse, labels, 50).retrain_eligible
     assert not decide(seen(True), quality, worse, labels, 51).retrain_eligible
-    assert not decide(seen(True), quality, quality, labels, 50).retrain_eligible
-    assert decide(seen(True), quality, quality, labels, 50).promote
+    assert not decide(seen(True), quality, same, labels, 50).retrain_eligible
+    assert decide(seen(True, True), quality, same, labels, 50).retrain_eligible
+    assert not decide(seen(True), quality, better, labels, 50).retrain_eligible
+    assert decide(seen(True), quality, same, labels, 50).promote

@@ -98,8 +98,7 @@ def test_quantiles_survive_a_coarse_sketch(spark, monkeypatch):
     assert np.allclose(got, np.quantile(values, PROBS))
 
 
-def test_many_groups_use_counts(spark, monkeypatch):
-    monkeypatch.setattr(o, "FEW_GROUPS", 3)
+def test_quantiles_of_many_groups(spark):
     df = spark.range(100).select((F.col("id") % 10).alias("k"), F.col("id").cast("double").alias("v"))
     got = {r.k: r.quantiles[0] for r in o.exact_quantiles(df, ["k"], "v", (0.5,)).collect()}
     assert got == {k: 45.0 + k for k in range(10)}
