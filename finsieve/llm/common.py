@@ -27,6 +27,11 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows by ``keys`` to all shuffle partitions, where little data is much work and merging partitions by size would idle cores."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a slice holds about ``max_bytes``, or one row."""
     for batch in batches:

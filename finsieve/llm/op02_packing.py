@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from finsieve.llm.common import pieces as slices
+from finsieve.llm.common import pieces as slices, spread
 from finsieve.session import stage
 
 CAPACITY = 4096
@@ -251,7 +251,7 @@ def _epochs(items: DataFrame, blocks: int, level: int, capacity: int) -> DataFra
                 ]
                 yield frame[["block", "uids", "sizes", "island", "elites"]]
 
-        state = stage(state.repartition("block", "island").mapInPandas(run, schema), "islands")
+        state = stage(spread(state, "block", "island").mapInPandas(run, schema), "islands")
         if epoch + 1 < EPOCHS:  # an island goes on with its own best and its neighbour's
             near = state.select("block", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).alias("island"), F.slice("elites", 1, 1).alias("guest"))
             state = state.join(near, ["block", "island"]).select(

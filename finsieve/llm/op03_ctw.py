@@ -26,7 +26,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from finsieve.llm.common import pieces
+from finsieve.llm.common import pieces, spread
 from finsieve.session import stage
 
 DEPTH = 5
@@ -283,7 +283,7 @@ def _totals(counts: DataFrame) -> DataFrame:
         })
 
     shape = "kind int, bucket int, keys binary, n binary, total bigint, known bigint"
-    return stage(counts.groupBy("kind", "bucket").applyInArrow(merge, shape), "totals")
+    return stage(spread(counts, "kind", "bucket").groupBy("kind", "bucket").applyInArrow(merge, shape), "totals")
 
 
 def _model(totals: DataFrame, depth: int, buckets: int) -> DataFrame:
@@ -297,7 +297,7 @@ def _model(totals: DataFrame, depth: int, buckets: int) -> DataFrame:
                 )
 
     flat = totals.filter(F.col("kind") == GRAM).select("keys", "n").mapInArrow(unpacked, "gram bigint, n bigint")
-    trees = flat.groupBy(F.shiftright("gram", 8).bitwiseAND(0xFFFF))
+    trees = spread(flat.withColumn("suffix", F.shiftright("gram", 8).bitwiseAND(0xFFFF)), "suffix").groupBy("suffix")
 
     def summed(rows: pa.Table) -> pa.Table:
         _, nodes = subtree(rows.column("gram").to_numpy(), rows.column("n").to_numpy(), depth)
@@ -336,7 +336,8 @@ def _returned(counts: DataFrame, model: DataFrame) -> DataFrame:
         return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 4, kinds)], names=["block", "kind", "keys", "value"])
 
     by = ("kind", "bucket")
-    return counts.select("block", "kind", "bucket", "keys").groupBy(*by).cogroup(model.groupBy(*by)).applyInArrow(
+    asked = spread(counts.select("block", "kind", "bucket", "keys"), *by)
+    return asked.groupBy(*by).cogroup(spread(model, *by).groupBy(*by)).applyInArrow(
         look, "block bigint, kind int, keys binary, value binary"
     )
 
@@ -417,6 +418,6 @@ def score(
             "base_score": pa.array(base, pa.float64()), "score": pa.array(score, pa.float64()),
         })
 
-    return rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
+    return spread(rows, "block").groupBy("block").cogroup(spread(back, "block").groupBy("block")).applyInArrow(
         apply, f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     )
