@@ -11,30 +11,53 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from math import factorial
 
-from pyspark.ml import Transformer
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from finsieve.constants import MODEL_FEATURES
 from finsieve.operators.ordered import exact_quantiles
 
 
-def additive_attribution(df: DataFrame, terms: dict[str, Column], background: DataFrame,
-                         keep: Sequence[str] = ("row_id",)) -> DataFrame:
-    """Long rows (keep, feature, phi, base) for a score that is the sum of ``terms``."""
+def additive_cells(df: DataFrame, terms: dict[str, Column], background: DataFrame,
+                   keep: Sequence[str] = ("row_id",)) -> DataFrame:
+    """(keep, cells, base): each row's (feature, phi) as one array, for a score that is the sum of ``terms``."""
     means = background.agg(*[F.avg(t).alias(f) for f, t in terms.items()]).first()
-    base = float(sum(means))
     cells = F.array(*[
         F.struct(F.lit(f).alias("feature"), (t - F.lit(float(means[f]))).alias("phi")) for f, t in terms.items()
     ])
-    return df.select(*keep, F.explode(cells).alias("c")).select(*keep, "c.feature", "c.phi", F.lit(base).alias("base"))
+    return df.select(*keep, cells.alias("cells"), F.lit(float(sum(means))).alias("base"))
+
+
+def additive_attribution(df: DataFrame, terms: dict[str, Column], background: DataFrame,
+                         keep: Sequence[str] = ("row_id",)) -> DataFrame:
+    """Long rows (keep, feature, phi, base) for a score that is the sum of ``terms``."""
+    rows = additive_cells(df, terms, background, keep)
+    return rows.select(*keep, F.explode("cells").alias("c"), "base").select(*keep, "c.feature", "c.phi", "base")
+
+
+class NoMarginError(TypeError):
+    """The model has no log-odds."""
 
 
 def margin(model: Transformer) -> Callable[[DataFrame], DataFrame]:
-    """Add ``margin``, the log-odds of a boosted or logistic pipeline's probability."""
+    """Add ``margin``, the log-odds of a boosted or logistic pipeline, from its raw prediction.
+
+    Raw predictions stay finite where a probability rounds to 0 or 1. A boosted model's
+    probability is the logistic function of twice its raw prediction. Other models,
+    such as forests, whose votes reach 0 and 1, are refused.
+    """
+    last = model.stages[-1] if isinstance(model, PipelineModel) else model
+    if isinstance(last, GBTClassificationModel):
+        factor = 2.0
+    elif isinstance(last, LogisticRegressionModel):
+        factor = 1.0
+    else:
+        raise NoMarginError(f"{type(last).__name__} has no log-odds")
+
     def add(df: DataFrame) -> DataFrame:
-        p = vector_to_array("probability")[1]
-        return model.transform(df).withColumn("margin", F.log(p / (1 - p)))
+        return model.transform(df).withColumn("margin", F.lit(factor) * vector_to_array("rawPrediction")[1])
     return add
 
 
@@ -113,26 +136,31 @@ def global_importance(long: DataFrame) -> DataFrame:
     )
 
 
-def direction_summary(values: DataFrame) -> DataFrame:
+def direction_summary(rows: DataFrame, values: dict[str, Column], phis: dict[str, Column]) -> DataFrame:
     """Mean contribution at low or absent against high or present values per feature.
 
-    ``values`` is long: feature, value, phi. A feature with values in {0, 1} only is
-    compared by presence, any other by its outer quartiles.
+    ``values`` and ``phis`` are columns over ``rows`` by feature. A feature with values in
+    {0, 1} only is compared by presence, any other by its outer quartiles. The rows stay
+    wide: one pass for the quartiles, whose few numbers become literals, and one for the
+    conditional means.
     """
-    quartiles = exact_quantiles(values, ["feature"], "value", (0.25, 0.75)).withColumnRenamed("feature", "_f")
-    # One row per feature on the joined side.
-    rows = values.join(F.broadcast(quartiles), F.col("feature") == F.col("_f"))
-    at_most, at_least = F.col("value") <= F.col("quantiles")[0], F.col("value") >= F.col("quantiles")[1]
-
-    def mean(condition: Column) -> Column:
-        return F.avg(F.when(condition, F.col("phi")))
-
-    found = rows.groupBy("feature").agg(
-        F.bool_and(F.col("value").isin(0.0, 1.0)).alias("binary"),
-        mean(F.col("value") == 0).alias("absent"), mean(F.col("value") == 1).alias("present"),
-        mean(at_most).alias("low"), mean(at_least).alias("high"),
-        F.avg(F.abs("phi")).alias("mean_abs_phi"),
-    )
+    names = list(values)
+    long = rows.select(F.inline(F.array(*[
+        F.struct(F.lit(f).alias("feature"), values[f].cast("double").alias("value")) for f in names
+    ])))
+    quartiles = {r.feature: r.quantiles for r in exact_quantiles(long, ["feature"], "value", (0.25, 0.75)).collect()}
+    parts = []
+    for f in names:
+        value, phi = values[f].cast("double"), phis[f]
+        low, high = quartiles.get(f, (None, None))
+        at_most, at_least = value <= F.lit(low).cast("double"), value >= F.lit(high).cast("double")
+        parts.append(F.struct(
+            F.lit(f).alias("feature"), F.bool_and(value.isin(0.0, 1.0)).alias("binary"),
+            F.avg(F.when(value == 0, phi)).alias("absent"), F.avg(F.when(value == 1, phi)).alias("present"),
+            F.avg(F.when(at_most, phi)).alias("low"), F.avg(F.when(at_least, phi)).alias("high"),
+            F.avg(F.abs(phi)).alias("mean_abs_phi"),
+        ).alias(f))
+    found = rows.agg(*parts).select(F.inline(F.array(*[F.col(f"`{f}`") for f in names])))
     kind = F.when(F.col("binary"), F.lit("binary")).otherwise(F.lit("numeric"))
     low = F.when(F.col("binary"), F.col("absent")).otherwise(F.col("low"))
     high = F.when(F.col("binary"), F.col("present")).otherwise(F.col("high"))
@@ -143,15 +171,18 @@ def direction_summary(values: DataFrame) -> DataFrame:
     }).orderBy(F.desc("mean_abs_phi"), "feature")
 
 
-def top_contributions(long: DataFrame, keys: Sequence[str] = ("row_id",), top: int = 3) -> DataFrame:
-    """Per row the strongest contributions on each side, by absolute size.
+def top_contributions(cells: DataFrame, keys: Sequence[str] = ("row_id",), top: int = 3) -> DataFrame:
+    """Per row the strongest contributions on each side, by absolute size; ties go to the first feature by name.
 
-    The windows hold one row's features.
+    ``cells`` is (keys, cells) as ``additive_cells`` gives it. A row's features are sorted
+    inside the row, so nothing is shuffled.
     """
-    side = F.when(F.col("phi") > 0, F.lit("increases")).when(F.col("phi") < 0, F.lit("decreases"))
-    order = Window.partitionBy(*keys, "effect").orderBy(F.desc(F.abs("phi")), "feature")
-    return (
-        long.withColumn("effect", side).filter(F.col("effect").isNotNull())
-        .withColumn("place", F.row_number().over(order).cast("long")).filter(F.col("place") <= top)
-        .select(*keys, "effect", "place", "feature", "phi")
-    )
+    ranked = F.array_sort(F.transform("cells", lambda c: F.struct((-F.abs(c["phi"])).alias("k"), c["feature"].alias("feature"), c["phi"].alias("phi"))))
+
+    def side(name: str, keep: Callable[[Column], Column]) -> Column:
+        chosen = F.slice(F.filter(ranked, lambda c: keep(c["phi"])), 1, top)
+        return F.transform(chosen, lambda c, i: F.struct(
+            F.lit(name).alias("effect"), (i + 1).cast("long").alias("place"), c["feature"].alias("feature"), c["phi"].alias("phi")
+        ))
+    both = F.concat(side("increases", lambda p: p > 0), side("decreases", lambda p: p < 0))
+    return cells.select(*keys, F.inline(both))

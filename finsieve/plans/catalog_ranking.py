@@ -19,9 +19,6 @@ from finsieve.plans.registry import FEAT, SCORED, THRESHOLD, points, query
 from finsieve.plans.views import MODELS, features, ledger, rule_score, rule_terms, scored
 from finsieve.session import new_path, stage
 
-ROUNDS = 20  # boosting rounds of the registered model queries; the library default is 200
-
-
 def split(spark, sf) -> DataFrame:
     return prep.split_by_hash(features(spark, sf))
 
@@ -339,8 +336,17 @@ def regression_verdict(spark, sf):
 # --- models -----------------------------------------------------------------------
 
 
+_FITTED: dict[tuple[str, str, str], str] = {}
+
+
 def fitted(spark, sf, name: str) -> PipelineModel:
-    return md.fit(train_fold(spark, sf), md.specs(ROUNDS)[name])
+    """A model over the train fold, fitted and saved once per application and read back by every query."""
+    key = (spark.sparkContext.applicationId, str(sf), name)
+    if key not in _FITTED:
+        path = new_path(spark, name)
+        md.fit(train_fold(spark, sf), md.specs()[name]).write().save(path)
+        _FITTED[key] = path
+    return PipelineModel.load(_FITTED[key])
 
 
 def _evaluated(spark, sf, name: str) -> DataFrame:
@@ -385,7 +391,7 @@ def model_comparison(spark, sf):
     """Every model on the same test fold at threshold 0.5, by average precision."""
     test = test_fold(spark, sf)
     parts = [md.majority_scored(test)]
-    parts += [md.scored(fitted(spark, sf, name), test, name) for name in md.specs(ROUNDS)]
+    parts += [md.scored(fitted(spark, sf, name), test, name) for name in md.specs()]
     rows = stage(reduce(DataFrame.unionByName, parts), "model-scores")
     return rk.average_precision(rows).join(rk.threshold_metrics(rows, 0.5), "model").orderBy(F.desc("average_precision"))
 
@@ -466,12 +472,10 @@ def shapley_direction(spark, sf):
         "payment_format": (F.col("payment_format").isin("purchase", "1-URGENT")).cast("double"),
         "noise": terms["noise"] / 16,
     }
-    value = F.lit(None).cast("double")
-    for f in terms:
-        value = F.when(F.col("feature") == f, shown.get(f, F.col(f)).cast("double")).otherwise(value)
-    keep = ["row_id", "payment_format", "amount_paid", "is_business_hours", "same_account", "sender_previous_tx_count"]
-    long = at.additive_attribution(rows, terms, rows, keep).withColumn("value", value)
-    return at.direction_summary(long.select("feature", "value", "phi"))
+    keep = ["payment_format", "amount_paid", "is_business_hours", "same_account", "sender_previous_tx_count", "row_id"]
+    cells = at.additive_cells(rows, terms, rows, keep)
+    phis = {f: F.col("cells")[i]["phi"] for i, f in enumerate(terms)}
+    return at.direction_summary(cells, {f: shown.get(f, F.col(f) if f != "noise" else None) for f in terms}, phis)
 
 
 @query("shapley_top3", SHAP + """
@@ -479,7 +483,22 @@ select row_id, effect, place, feature, round(phi, 6) as phi from (
   select *, row_number() over (partition by row_id, effect order by abs(phi) desc, feature) as place
   from (select *, case when phi > 0 then 'increases' else 'decreases' end as effect from shap where phi <> 0) x) y where place <= 3""")
 def shapley_top3(spark, sf):
-    return at.top_contributions(_rule_values(spark, sf))
+    rows = features(spark, sf)
+    return at.top_contributions(at.additive_cells(rows, rule_terms("rule_a"), rows))
+
+
+@query("shapley_cases", SHAP + f""", sc as (select row_id, is_laundering as label, cast({points('rule_a')} as double) / 1000 as score from f), cases as (
+select case when label = 1 then 'true_positive' else 'false_positive' end as "case", row_id
+from (select *, row_number() over (partition by label order by score desc, row_id) as r from sc where score >= {THRESHOLD}) z where r = 1)
+select "case", row_id, effect, place, feature, round(phi, 6) as phi from (
+  select *, row_number() over (partition by row_id, effect order by abs(phi) desc, feature) as place
+  from (select *, case when phi > 0 then 'increases' else 'decreases' end as effect from shap join cases using (row_id) where phi <> 0) x) y where place <= 3""")
+def shapley_cases(spark, sf):
+    """The strongest contributions of the best-scored true and false alert."""
+    cases = rk.top_cases(scored(spark, sf).filter("model = 'rule_a'"), THRESHOLD).select("case", "row_id")
+    rows = features(spark, sf)
+    chosen = at.additive_cells(rows, rule_terms("rule_a"), rows).join(F.broadcast(cases), "row_id")  # two rows
+    return at.top_contributions(chosen, ("case", "row_id"))
 
 
 BACKGROUND_ROWS = 16

@@ -167,3 +167,22 @@ def test_contract_rules_in_order(spark, signal):
         dq.validate_ledger(signal.withColumn("amount_paid", F.lit("many")))
     nulls = signal.withColumn("is_laundering", F.when(F.col("row_id") > 9, F.col("is_laundering")))
     assert dq.validate_ledger(nulls) is nulls
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    head = "Note,To Bank,Account,Timestamp,Amount Paid,Account,From Bank,Is Laundering,Payment Format,Amount Received,Receiving Currency,Payment Currency"
+    (tmp_path / "a.csv").write_text(head + "\nx,2,A1,2022/09/01 10:00,5.5,A2,1,0,ACH,6.5,EUR,USD\n")
+    (tmp_path / "b.csv").write_text(head + "\n\"y,z\",4,A3,2022/09/01 11:00,7.5,A4,3,1,Wire,8.5,USD,EUR\n")
+    rows = src.scan_ledger_text(spark, str(tmp_path)).orderBy("ts").collect()
+    assert [(r.from_bank, r.account, r.to_bank, r.counterparty, r.amount_paid, r.amount_received, r.is_laundering) for r in rows] == [
+        (1, "A1", 2, "A2", 5.5, 6.5, 0), (3, "A3", 4, "A4", 7.5, 8.5, 1)]
+    assert [(r.receiving_currency, r.payment_currency, r.payment_format) for r in rows] == [("EUR", "USD", "ACH"), ("USD", "EUR", "Wire")]
+
+
+def test_all_missing_names_are_told(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Timestamp,Account,Account,To Bank\n2022/09/01 10:00,A,B,1\n")
+    with pytest.raises(src.HeaderError, match="From Bank, Amount Received, .*Is Laundering"):
+        src.scan_ledger_text(spark, str(tmp_path / "a.csv"))
+    (tmp_path / "b.csv").write_text("Timestamp,Account\n")
+    with pytest.raises(src.HeaderError, match="different headers"):
+        src.scan_ledger_text(spark, str(tmp_path))
