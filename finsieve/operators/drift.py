@@ -110,37 +110,60 @@ def classify_psi(psi: str = "psi") -> Column:
 def drift_report(profile: Profile, current: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """PSI and signal of every feature, per ``keys`` (monitoring windows) if given.
 
-    Every bucket of the reference meets every window through an equi-join on the
-    feature; counts are smoothed before they are normalised.
+    Counts are smoothed before they are normalised. Only buckets that a window holds are
+    joined, on (feature, bucket); those of the reference that it lacks all have the same
+    current share, so their part follows from four sums per feature over the reference.
     """
     keys = list(keys)
-    counts = stage(bucket_counts(profile, current, keys), "current")
-    grid = (
-        counts.select(*keys, "feature").distinct()
-        .join(profile.buckets.select("feature", "bucket", "n_ref"), "feature")
-        .join(counts, [*keys, "feature", "bucket"], "full_outer")
-        .na.fill({"n_ref": 0, "n_cur": 0})
-    )
-    totals = grid.groupBy(*keys, "feature").agg(
-        F.sum("n_ref").alias("all_ref"), F.sum("n_cur").alias("all_cur"), F.count(F.lit(1)).alias("bucket_count")
-    )
+    by = [*keys, "feature"]
+    r = F.col("n_ref") + PSI_EPSILON
+    sums = {"n": F.lit(1), "r": r, "l": F.log(r), "rl": r * F.log(r)}
+    # One row per feature.
+    whole = profile.buckets.groupBy("feature").agg(*[F.sum(c).alias(f"t_{n}") for n, c in sums.items()], F.sum("n_ref").alias("all_ref"))
+    counts = bucket_counts(profile, current, keys)
+    present = stage(counts.join(profile.buckets.select("feature", "bucket", "n_ref"), ["feature", "bucket"], "left"), "current")
+    known = F.col("n_ref").isNotNull()
+    totals = present.groupBy(*by).agg(
+        F.sum("n_cur").alias("all_cur"), F.count_if(~known).alias("n_new"),
+        *[F.coalesce(F.sum(F.when(known, c)), F.lit(0.0)).alias(f"p_{n}") for n, c in sums.items()],
+    ).join(whole, "feature", "left").na.fill(0)
+    totals = totals.withColumn("bucket_count", F.col("t_n") + F.col("n_new"))
     smoothed = PSI_EPSILON * F.col("bucket_count")
-    ref = (F.col("n_ref") + PSI_EPSILON) / (F.col("all_ref") + smoothed)
-    cur = (F.col("n_cur") + PSI_EPSILON) / (F.col("all_cur") + smoothed)
+    all_ref, all_cur = F.col("all_ref") + smoothed, F.col("all_cur") + smoothed
+    ref, cur = (F.coalesce("n_ref", F.lit(0)) + PSI_EPSILON) / all_ref, (F.col("n_cur") + PSI_EPSILON) / all_cur
+    n, sr, sl, srl = (F.col(f"t_{x}") - F.col(f"p_{x}") for x in ("n", "r", "l", "rl"))
+    least = PSI_EPSILON / all_cur
+    lacking = least * (n * F.log(least * all_ref) - sl) - (sr * F.log(least * all_ref) - srl) / all_ref
     kind = F.lit(None).cast("string")
     for name, t in profile.columns.items():
         kind = F.when(F.col("feature") == name, F.lit(t)).otherwise(kind)
     return (
-        grid.join(totals, [*keys, "feature"])
-        .groupBy(*keys, "feature").agg(
-            F.sum((cur - ref) * F.log(cur / ref)).alias("psi"),
-            F.max("bucket_count").alias("bucket_count"),
+        present.join(totals, by).groupBy(*by).agg(
+            (F.sum((cur - ref) * F.log(cur / ref)) + F.max(F.when(n > 0, lacking).otherwise(0.0))).alias("psi"),
+            F.max("bucket_count").cast("long").alias("bucket_count"),
         )
         .withColumns({"type": kind, "signal": classify_psi()})
         .select(*keys, "feature", "type", "psi", "signal", "bucket_count")
     )
 
 
+def save_profile(profile: Profile, path: str) -> None:
+    """Write a profile; monitoring runs load it and never read the reference again."""
+    profile.edges.write.mode("overwrite").parquet(f"{path}/edges")
+    profile.buckets.write.mode("overwrite").parquet(f"{path}/buckets")
+    spark = profile.edges.sparkSession
+    columns = spark.createDataFrame([(c, t, profile.bins) for c, t in profile.columns.items()], "feature string, type string, bins int")
+    columns.coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")  # one row per feature
+
+
+def load_profile(spark: SparkSession, path: str) -> Profile:
+    columns = spark.read.parquet(f"{path}/columns").collect()
+    return Profile(
+        spark.read.parquet(f"{path}/edges"), spark.read.parquet(f"{path}/buckets"),
+        {r.feature: r.type for r in columns}, columns[0].bins,
+    )
+
+
 def drift_summary(report: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Overall signal and the drifting features in order. Prediction drift counts too."""
     def named(signal: str) -> Column:

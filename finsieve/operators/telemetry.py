@@ -12,37 +12,53 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from finsieve.constants import TELEMETRY_INPUT_FIELDS, TELEMETRY_OUTPUT_FIELDS
 from finsieve.operators.ordered import exact_quantiles
+from finsieve.session import stage
 
 
 def _field_set(names: Sequence[str]) -> Column:
     return F.array(*[F.lit(n) for n in sorted(names)])
 
 
-def audit(records: DataFrame) -> DataFrame:
-    """Per collection: records, ids, duplicate ids, broken shapes and wrong field sets.
+def per_id(records: DataFrame) -> DataFrame:
+    """(collection, correlationid, records, invalid_shapes, schema_mismatches): one row per id, the missing id too.
 
-    Ids are counted from one row per distinct id, so a much repeated id costs nothing.
+    All checks read this table, so the text is parsed once; a much repeated id is counted
+    before the shuffle and costs nothing.
     """
     expected = F.when(F.col("collection") == "inputs", _field_set(TELEMETRY_INPUT_FIELDS)).otherwise(
         _field_set(TELEMETRY_OUTPUT_FIELDS)
     )
-    shapes = records.groupBy("collection").agg(
+    return records.groupBy("collection", "correlationid").agg(
         F.count(F.lit(1)).alias("records"),
-        F.count("correlationid").alias("valid_ids"),
-        F.count_if(F.col("correlationid").isNull()).alias("missing_ids"),
         F.count_if(F.col("row").isNull()).alias("invalid_shapes"),
         F.count_if(F.col("row").isNotNull() & (F.array_sort(F.map_keys("row")) != expected)).alias("schema_mismatches"),
     )
-    repeated = (
-        records.filter(F.col("correlationid").isNotNull()).groupBy("collection", "correlationid").count()
-        .groupBy("collection").agg(F.count_if(F.col("count") > 1).alias("duplicate_ids"))
+
+
+def audit(records: DataFrame) -> DataFrame:
+    """Per collection: records, ids, duplicate ids, broken shapes and wrong field sets."""
+    return _audit(per_id(records))
+
+
+def _audit(ids: DataFrame) -> DataFrame:
+    known = F.col("correlationid").isNotNull()
+
+    def total(column: str, rows: Column = F.lit(True)) -> Column:
+        return F.coalesce(F.sum(F.when(rows, F.col(column))), F.lit(0)).alias(column)
+
+    return ids.groupBy("collection").agg(
+        total("records"), total("records", known).alias("valid_ids"), total("records", ~known).alias("missing_ids"),
+        total("invalid_shapes"), total("schema_mismatches"), F.count_if(known & (F.col("records") > 1)).alias("duplicate_ids"),
     )
-    return shapes.join(repeated, "collection", "left").na.fill({"duplicate_ids": 0})
 
 
 def pairing_audit(records: DataFrame) -> DataFrame:
     """Distinct ids on both sides, on the input side only and on the output side only."""
-    sides = records.filter(F.col("correlationid").isNotNull()).groupBy("correlationid").agg(
+    return _pairing(per_id(records))
+
+
+def _pairing(ids: DataFrame) -> DataFrame:
+    sides = ids.filter(F.col("correlationid").isNotNull()).groupBy("correlationid").agg(
         F.max(F.col("collection") == "inputs").alias("i"), F.max(F.col("collection") == "outputs").alias("o")
     )
     return sides.agg(
@@ -97,9 +113,8 @@ def acceptance_checks(records: DataFrame) -> DataFrame:
         for side in ("inputs", "outputs")
     }
     counts["pairs"] = ("input_only", "output_only")
-    found = audit(records).unionByName(
-        pairing_audit(records).withColumn("collection", F.lit("pairs")), allowMissingColumns=True
-    )
+    ids = stage(per_id(records), "ids")
+    found = _audit(ids).unionByName(_pairing(ids).withColumn("collection", F.lit("pairs")), allowMissingColumns=True)
     row = found.groupBy().agg(*[
         F.coalesce(F.max(F.when(F.col("collection") == side, F.col(c))), F.lit(0)).alias(
             c if side == "pairs" else f"{side}_{c}"

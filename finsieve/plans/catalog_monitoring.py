@@ -224,8 +224,18 @@ LOW_REPORT = POP + _psi_sql("rest")
 _REPORT_COLUMNS = "select feature, type, round(psi, 6) as psi, signal, bucket_count from report"
 
 
+_PROFILES: dict[tuple, str] = {}
+
+
 def profile(spark, sf, types=None) -> dr.Profile:
-    return dr.reference_profile(drift_reference(spark, sf), types or TYPES)
+    """The reference's profile, built and saved once per application and loaded by every monitoring query."""
+    types = types or TYPES
+    key = (spark.sparkContext.applicationId, str(sf), *types.items())
+    if key not in _PROFILES:
+        path = new_path(spark, "profile")
+        dr.save_profile(dr.reference_profile(drift_reference(spark, sf), types), path)
+        _PROFILES[key] = path
+    return dr.load_profile(spark, _PROFILES[key])
 
 
 @query("psi_edges", POP + """

@@ -118,3 +118,17 @@ def test_retraining_needs_every_condition(spark):
     assert decide(seen(True, True), quality, same, labels, 50).retrain_eligible
     assert not decide(seen(True), quality, better, labels, 50).retrain_eligible
     assert decide(seen(True), quality, same, labels, 50).promote
+
+
+def test_a_saved_profile_needs_no_reference(spark, tmp_path):
+    ref = spark.createDataFrame([(float(i % 7), "ab"[i % 2]) for i in range(200)], "x double, c string")
+    ref.write.parquet(str(tmp_path / "reference"))
+    stored = spark.read.parquet(str(tmp_path / "reference"))
+    built = dr.reference_profile(stored, {"x": "numeric", "c": "categorical"})
+    dr.save_profile(built, str(tmp_path / "profile"))
+    loaded = dr.load_profile(spark, str(tmp_path / "profile"))
+    cur = spark.createDataFrame([(3.0, "b"), (9.0, "z"), (1.0, None)], "x double, c string")
+    report = dr.drift_report(loaded, cur)
+    same = {r.feature: (r.psi, r.bucket_count) for r in dr.drift_report(built, cur).collect()}
+    assert {r.feature: (r.psi, r.bucket_count) for r in report.collect()} == same
+    assert not [f for f in [*report.inputFiles(), *loaded.buckets.inputFiles(), *loaded.edges.inputFiles()] if "/reference/" in f]
