@@ -11,7 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from finsieve.constants import (
-    ALERT_BUDGETS, ATTRIBUTION_SAMPLE_ROWS, NUMERIC_FEATURES, PRECISION_TARGETS, SCORE_PARITY_TOLERANCE, TARGET,
+    ALERT_BUDGETS, ATTRIBUTION_SAMPLE_ROWS, NUMERIC_FEATURES, PRECISION_TARGETS, SCORE_PARITY_TOLERANCE,
 )
 from finsieve.operators import attribution as at, gates, models as md, prep, ranking as rk
 from finsieve.operators.telemetry import traffic_by_format

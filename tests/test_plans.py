@@ -51,3 +51,17 @@ def test_result_does_not_depend_on_shuffle_partitions(name, spark, sf):
         assert rows() == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_entry_works_without_the_training_folder(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    left_out = shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__", ".pytest_cache")
+    shutil.copytree(root, tmp_path / "copy", ignore=left_out)
+    code = "import __spark_entry__ as e; q = e.queries(); print(len(q), any(n.startswith('op') and n[2].isdigit() for n in q), set(e.oracle_sql()) <= set(q))"
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True, check=True).stdout.split()
+    assert int(said[0]) > 100 and said[1:] == ["False", "True"]
