@@ -232,7 +232,7 @@ def _blocks(docs: DataFrame, id: str, text: str, held: Column, block: int) -> Da
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, size = TaskContext.get().partitionId() << 24, 0
-        pack = zstandard.ZstdCompressor(3).compress
+        pack = zstandard.ZstdCompressor(6).compress
         for batch in pieces(batches, 1 << 20):
             size += batch.nbytes
             if size > block:
@@ -311,7 +311,8 @@ def _model(totals: DataFrame, depth: int, buckets: int) -> DataFrame:
     def finish(rows: pa.Table) -> pa.Table:
         gram = rows.column("gram").to_numpy()
         p, _ = subtree(gram, rows.column("n").to_numpy(), depth)
-        logp = finished(gram, p, tables.value)
+        # Seven digits are enough for a sum of logarithms, and half of the bytes then compress to nothing.
+        logp = finished(gram, p, tables.value).astype(np.float32).astype(np.float64)
         out = [(GRAM, b, squeezed(gram[at]), squeezed(logp[at])) for b, at in by_bucket(gram, buckets)]
         kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["kind", "bucket", "keys", "value"])
