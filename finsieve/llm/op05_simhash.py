@@ -164,8 +164,9 @@ def links(prints: DataFrame, radius: int, words: int = 1, tile: int = 8192, scre
 
     cells = stage(prints.select("fp").distinct().mapInArrow(celled, "fp binary, cell array<int>"), "cells")
     sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"))
+    # At most (span // step + 1) ** 4 cells, 83,521 for a fingerprint of one word and radius 2.
     tiles = stage(
-        cells.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+        cells.join(F.broadcast(sizes), "cell").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
         .groupBy("cell", "part", "parts").agg(F.array_join(F.collect_list(F.hex("fp")), "").alias("blob"))
         .select("cell", "part", "parts", F.unhex("blob").alias("blob")),
         "tiles",
