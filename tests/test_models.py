@@ -169,15 +169,12 @@ def test_train_and_evaluate_jobs(spark, signal, tmp_path):
 
 
 def test_margin_stays_finite_and_forests_are_refused(spark):
-    from pyspark.ml.classification import LogisticRegressionModel, RandomForestClassifier
+    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
     from pyspark.ml.linalg import Vectors
 
-    rows = spark.createDataFrame([(float(i % 2), Vectors.dense([float(i % 2) * 1000])) for i in range(40)], "label double, features vector")
-    from pyspark.ml.classification import LogisticRegression
-
-    model = LogisticRegression(regParam=0.0, maxIter=200).fit(rows)
-    assert isinstance(model, LogisticRegressionModel)
-    far = spark.createDataFrame([(Vectors.dense([1e6]),), (Vectors.dense([-1e6]),)], "features vector")
+    rows = spark.createDataFrame([(float(i % 2), Vectors.dense([float(i % 2) * 1000])) for i in range(40)], ["label", "features"])
+    model = LogisticRegression(labelCol="label", regParam=0.0, maxIter=200).fit(rows)
+    far = spark.createDataFrame([(Vectors.dense([1e6]),), (Vectors.dense([-1e6]),)], ["features"])
     out = [r.margin for r in at.margin(model)(far).collect()]
     assert all(abs(m) < float("inf") for m in out) and out[0] > 100 > -100 > out[1]
     with pytest.raises(at.NoMarginError):
