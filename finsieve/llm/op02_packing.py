@@ -3,9 +3,10 @@
 Pieces are dealt by hash into blocks of a bounded size. Each block is evolved by two islands.
 Crossover injects whole well-filled bins of one parent into the other, drops bins that share a
 document with them, and best-fits the displaced documents. Between epochs the best individuals of
-an island migrate to the block's next island. Bins filled well are final; the rest of every
-block is dealt anew into fewer blocks, until a single block is left, so the loss does not add up
-over blocks.
+an island migrate to the block's next island. Bins filled well are final, and so are items that fit with
+no other item left; the rest of every block is dealt anew into fewer blocks, until a single block is
+left, so the loss does not add up over blocks. Where nearly nothing gets final, blocks double up to
+``GROWTH`` times, and such blocks end the packing: each may leave bins that items of another block would fill.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ CHILDREN = 10
 ELITE = 2
 #: Bins at least so full are final when a block is done.
 FULL = 0.99
+#: Blocks grow so many times at most, which bounds what one task evolves.
+GROWTH = 8
 CACHE = 400_000
 
 
@@ -267,8 +270,10 @@ def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> Data
     """(uid, sequence_id, offset) for every row of ``items``(uid, length).
 
     ``uid`` is unique and ``length`` from 1 to ``capacity``. An item that fills a sequence is one.
-    Levels run until one block holds all items left; each level keeps well-filled bins.
+    Levels run until one block holds all items left, or blocks of ``GROWTH`` times ``block`` items get nearly
+    nothing final; each level keeps well-filled bins.
     """
+    most, stuck = GROWTH * block, False
     whole = items.filter(F.col("length") == capacity).select(
         "uid", (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")
     )
@@ -283,9 +288,15 @@ def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> Data
         bins = each.groupBy("block", "bin").agg(F.sort_array(F.collect_list("x")).alias("x"))
         fill = F.aggregate("x", F.lit(0).cast("bigint"), lambda s, x: s + x["length"])
         bins = stage(bins.withColumn("fill", fill), "bins")
-        last = blocks == 1
-        final = bins if last else bins.filter(F.col("fill") >= FULL * capacity)
-        number = F.lit(serial) + F.col("block") * (2 * block) + F.col("bin")
+        last = blocks == 1 or stuck
+        done_with = F.lit(last) | (F.col("fill") >= FULL * capacity)
+        if not last:
+            rest = bins.filter(~done_with).select(F.inline("x"))
+            smallest = rest.agg(F.min("length")).first()[0] or capacity
+            # No two items left fit together where one of them is so long: exact, whatever the other bins hold.
+            done_with = done_with | ((F.size("x") == 1) & (F.col("fill") > capacity - smallest))
+        final = bins.filter(done_with)
+        number = F.lit(serial) + F.col("block") * F.lit(count).cast("bigint") + F.col("bin")
         done.append(
             final.select(number.alias("sequence_id"), F.posexplode("x").alias("i", "item"), "x").select(
                 F.col("item.uid").alias("uid"), "sequence_id",
@@ -294,10 +305,11 @@ def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> Data
         )
         if last:
             break
-        left = stage(bins.filter(F.col("fill") < FULL * capacity).select(F.inline("x")), "left")
-        serial, level, before, count = serial + blocks * 2 * block, level + 1, count, left.count()
-        if count > 0.9 * before:  # nearly nothing gets full: larger blocks, until one is left
-            block *= 2
+        left = stage(bins.filter(~done_with).select(F.inline("x")), "left")
+        serial, level, before, count = serial + blocks * count, level + 1, count, left.count()
+        if count > 0.9 * before:  # nearly nothing gets final: larger blocks, and an end when they may not grow
+            stuck = block >= most
+            block = min(2 * block, most)
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
