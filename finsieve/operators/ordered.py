@@ -1,10 +1,11 @@
 """Ranks, running sums and exact quantiles that never put a large group in one task.
 
 A window over a group runs in one task. So rows are range-partitioned by group and
-order, stamped with the slice they fell into, and written; windows then run per
-(group, slice) and the totals of a group's earlier slices are added as offsets. A
-group holding a third of the table is spread like any other. There is this one way
-for every size; ``rows_per_task`` only sets how large a slice is.
+order, stamped with the slice they fell into, and written in buckets of slices; windows
+then run per (group, slice) where the rows lie, and the totals of a group's earlier slices
+are added as offsets. Only the first and last group of a slice can have any. A group
+holding a third of the table is spread like any other, and rows move once. There is this
+one way for every size; ``rows_per_task`` only sets how large a slice is.
 """
 
 from __future__ import annotations
@@ -14,9 +15,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from finsieve.session import stage, stage_counted
+from finsieve.session import stage, stage_bucketed, stage_counted
 
 ROWS_PER_TASK = 2_000_000
+#: A slice of its own, where there are fewer slices than shuffle partitions.
+WORTH_A_TASK = 50_000
 _SLICE = "_slice"
 Order = Sequence[tuple[str, str]]
 
@@ -26,10 +29,14 @@ def _sort(order: Order) -> list[Column]:
 
 
 def _sliced(df: DataFrame, keys: Sequence[str], order: Order, rows: int, rows_per_task: int) -> DataFrame:
-    """Range-partition by (keys, order) and fix each row's slice number by writing it."""
-    n = max(2, math.ceil(rows / rows_per_task) + 1)
+    """Range-partition by (keys, order) and write each row with its slice's number, bucketed by it.
+
+    This is the one time that rows move: what follows groups by slice and finds them in place.
+    """
+    parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(2, min(parallel, rows // WORTH_A_TASK), math.ceil(rows / rows_per_task) + 1)
     ranged = df.repartitionByRange(n, *keys, *_sort(order))
-    return stage(ranged.withColumn(_SLICE, F.spark_partition_id()), "sliced")
+    return stage_bucketed(ranged.withColumn(_SLICE, F.spark_partition_id()), _SLICE, n, "sliced")
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -39,27 +46,44 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return condition
 
 
-def _with_slice_totals(rows: DataFrame, keys: Sequence[str], sums: dict[str, Column],
-                       totals: dict[str, Column]) -> DataFrame:
-    """Join each (keys, slice) with the sums of the slices before it and of the group.
+def _group(keys: Sequence[str]) -> Column:
+    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("_none"))
+
 
-    The totals have one row per (key, slice) that occurs, so a group contributes at
-    most as many rows as there are slices.
+def _edges(rows: DataFrame, keys: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """One row per slice with its first and its last group: sums over earlier slices and over all.
+
+    Slices follow the order of groups, so only these two can lie in another slice as well. Rows of
+    a slice are in one bucket, so both aggregates run in place; beyond them there are two rows a slice.
     """
+    per_group = rows.groupBy(*keys, _SLICE).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    end = F.struct(_group(keys).alias("_k"), *sums)
+    ends = per_group.groupBy(_SLICE).agg(F.min(end).alias("_a"), F.max(end).alias("_b"))
+    ends = ends.select(_SLICE, F.explode(F.array_distinct(F.array("_a", "_b"))).alias("_e"))
+    ends = ends.select(_SLICE, "_e._k", *[f"_e._k.{k}" for k in keys], *[f"_e.{n}" for n in sums])
     before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    per_slice = rows.groupBy(*keys, _SLICE).agg(
-        *[F.sum(c).alias("_s_" + n) for n, c in sums.items()],
-        *[F.sum(c).alias("_t_" + n) for n, c in totals.items()],
-    )
-    per_slice = per_slice.select(
-        *[F.col(k).alias("_k_" + k) for k in [*keys, _SLICE]],
-        *[F.coalesce(F.sum("_s_" + n).over(before), F.lit(0)).alias("_o_" + n) for n in sums],
-        *[F.sum("_t_" + n).over(whole).alias(n) for n in totals],
-    )
-    return rows.join(per_slice, _same(rows, per_slice, [*keys, _SLICE])).drop(
-        *["_k_" + k for k in [*keys, _SLICE]]
+    ends = ends.select(
+        F.col(_SLICE).alias("_at"),
+        F.struct(
+            "_k", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias("_o_" + n) for n in sums],
+            *[F.sum(n).over(whole).alias("_t_" + n) for n in sums],
+        ).alias("_e"),
     )
+    return ends.groupBy("_at").agg(F.min("_e").alias("_a"), F.max("_e").alias("_b"))
+
+
+def _lifted(rows: DataFrame, keys: Sequence[str], sums: dict[str, Column], lifts: dict[str, Column],
+            totals: dict[str, str]) -> DataFrame:
+    """Add to each column of ``lifts`` the sum of earlier slices, and each column of ``totals`` as its group's whole sum."""
+    edges = _edges(rows, keys, sums).hint("shuffle_hash")
+    first, last = _group(keys).eqNullSafe(F.col("_a._k")), _group(keys).eqNullSafe(F.col("_b._k"))
+    here = Window.partitionBy(*keys, _SLICE)
+    return rows.join(edges, rows[_SLICE] == edges["_at"]).withColumns({
+        **{n: c + F.when(first, F.col(f"_a._o_{n}")).otherwise(F.lit(0)) for n, c in lifts.items()},
+        **{out: F.when(first, F.col(f"_a._t_{n}")).when(last, F.col(f"_b._t_{n}")).otherwise(F.sum(sums[n]).over(here))
+           for out, n in totals.items()},
+    })
 
 
 def row_rank(df: DataFrame, keys: Sequence[str], order: Order, out: str,
@@ -68,11 +92,8 @@ def row_rank(df: DataFrame, keys: Sequence[str], order: Order, out: str,
     keys = list(keys)
     sliced = _sliced(df, keys, order, df.count(), rows_per_task)
     within = Window.partitionBy(*keys, _SLICE).orderBy(*_sort(order))
-    return (
-        _with_slice_totals(sliced, keys, {out: F.lit(1)}, {})
-        .withColumn(out, (F.row_number().over(within) + F.col("_o_" + out)).cast("long"))
-        .select(*df.columns, out)
-    )
+    ranked = _lifted(sliced, keys, {out: F.lit(1)}, {out: F.row_number().over(within)}, {})
+    return ranked.select(*df.columns, F.col(out).cast("long").alias(out))
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Order, sums: dict[str, str],
@@ -85,18 +106,13 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Order, sums: dict[st
     """
     keys, totals = list(keys), totals or {}
     staged, rows = stage_counted(df, "counts")
-    sum_cols = {n: F.col(c) for n, c in sums.items()}
-    total_cols = {n: F.col(c) for n, c in totals.items()}
     sliced = _sliced(staged, keys, order, rows, rows_per_task)
     within = (
         Window.partitionBy(*keys, _SLICE).orderBy(*_sort(order)).rowsBetween(Window.unboundedPreceding, 0)
     )
-    joined = _with_slice_totals(sliced, keys, sum_cols, total_cols)
-    return joined.select(
-        *df.columns,
-        *[(F.sum(c).over(within) + F.col("_o_" + n)).alias(n) for n, c in sum_cols.items()],
-        *totals,
-    )
+    all_sums = {n: F.col(c) for n, c in {**sums, **{"_all_" + n: c for n, c in totals.items()}}.items()}
+    lifts = {n: F.sum(F.col(c)).over(within) for n, c in sums.items()}
+    return _lifted(sliced, keys, all_sums, lifts, {n: "_all_" + n for n in totals}).select(*df.columns, *sums, *totals)
 
 
 def quantiles_from_counts(counts: DataFrame, keys: Sequence[str], value: str, n: str,

@@ -40,6 +40,17 @@ def test_prior_count_shuffles_rows_once(spark, sf):
     assert plan(ft.add_prior_count(rows)).count("Exchange hashpartitioning(account") == 1
 
 
+def test_ranks_leave_rows_in_their_buckets(spark, sf):
+    rows = views.ledger(spark, sf).select("row_id", "account", "ts")
+    ranked = ft.add_prior_count(rows, rows_per_task=500)
+    text = plan(ranked)
+    # The rows' own scan feeds a window without an exchange; only the two rows a slice that edges are get shuffled.
+    assert "Bucketed: true" in text and "Bucketed: false" not in text
+    for line in [x for x in text.splitlines() if "Exchange" in x]:
+        assert re.search(r"hashpartitioning\((account|_at)#", line), line
+    assert ranked.rdd.getNumPartitions() > 1
+
+
 @pytest.mark.parametrize("name", ["alert_budgets", "average_precision", "split_exact", "profile_numeric", "drift_report"])
 def test_result_does_not_depend_on_shuffle_partitions(name, spark, sf):
     def rows():
