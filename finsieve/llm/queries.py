@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finsieve.llm import (
     op01_warc, op02_packing, op03_ctw, op04_substring, op05_simhash, op06_decontaminate, op07_language, op08_quality, op09_line_dedup,
-    op10_neighbours,
+    op10_neighbours, op11_whitening, op12_alignment, op13_secrets,
 )
 from finsieve.llm.common import held_out, table
 from finsieve.session import new_path, stage
@@ -168,3 +168,25 @@ from (select *, row_number() over (partition by r order by score, vec_id, cr) as
 @query("op10_neighbours", OP10_SQL)
 def _neighbours(spark, d):
     return op10_neighbours.neighbours(table(spark, d, "embeddings"))
+
+
+@query("op11_whitening")
+def _whitening(spark, d):
+    rows = op11_whitening.components(op11_whitening.whiten(table(spark, d, "embeddings")))
+    return rows.select(
+        F.col("id").alias("vec_id"), "component", "n", F.col("deviation").cast("bigint").alias("deviation"), "whitened", "explained",
+        "identity_error",
+    )
+
+
+@query("op12_alignment")
+def _alignment(spark, d):
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    done = op12_alignment.align(table(spark, d, "documents"), *files, keep_groups=False)
+    return done.drop("groups").withColumnRenamed("id", "doc_id")
+
+
+@query("op13_secrets")
+def _secrets(spark, d):
+    docs = table(spark, d, "documents")
+    return op13_secrets.digest(op13_secrets.scan(docs, op13_secrets.learn(docs))).withColumnRenamed("id", "doc_id")
