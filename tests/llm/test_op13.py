@@ -82,7 +82,7 @@ def check(spark, texts):
 
 def test_spans_and_models(spark):
     got = dict(check(spark, TEXTS))
-    assert [s[1] for s in got[21]] == [0] and got[22] == [] and [s[3] for s in got[28]] == [KEY, "x" + KEY]
+    assert all(s[1] == 3 for k in (21, 22) for s in got[k]) and [s[3] for s in got[28]] == [KEY, "x" + KEY]
     assert got[32] == [] and len(got[30]) == 300 and all(got[100 + k] == [] for k in range(40))
 
 
