@@ -1,15 +1,13 @@
 """Shapley attribution over the raw model features.
 
 For a score that is a sum of per-feature terms the exact values are each term minus
-its mean over the background, so the whole table is explained in one pass. For any
-other model the 2^5 feature coalitions of each sampled row are scored against a small
-background and combined with the Shapley weights.
+its mean over the background, so the whole table is explained in one pass. Boosted trees
+are explained from their own training counts (``tree_attribution``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from math import factorial
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
@@ -61,50 +59,6 @@ def margin(model: Transformer) -> Callable[[DataFrame], DataFrame]:
     return add
 
 
-def coalition_attribution(add_margin: Callable[[DataFrame], DataFrame], rows: DataFrame, background: DataFrame,
-                          features: Sequence[str] = MODEL_FEATURES, max_background: int = 100) -> DataFrame:
-    """Exact interventional Shapley values, wide: row_id, base, margin, phi_<feature>.
-
-    ``background`` is a sample of at most ``max_background`` rows and travels as a
-    literal, so the expansion is a projection of each row and needs no join. One
-    aggregate by row_id then combines the coalitions.
-    """
-    m = len(features)
-    points = background.select(*features).limit(max_background + 1).collect()
-    if not 0 < len(points) <= max_background:
-        raise ValueError(f"the background must have 1 to {max_background} rows")
-    types = {f: rows.schema[f].dataType for f in features}
-    literal = F.array(*[F.struct(*[F.lit(p[f]).cast(types[f]).alias(f) for f in features]) for p in points])
-    mixed = (
-        rows.select("row_id", *features)
-        .withColumn("_b", F.explode(literal))
-        .withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(2**m - 1))))
-    )
-    inside = {f: F.col("_s").bitwiseAND(F.lit(1 << i)) != 0 for i, f in enumerate(features)}
-    mixed = mixed.select(
-        "row_id", "_s", *[F.when(inside[f], F.col(f)).otherwise(F.col(f"_b.{f}")).alias(f) for f in features]
-    )
-    size = F.bit_count("_s")
-    weights = [factorial(k) * factorial(m - k - 1) / factorial(m) for k in range(m)]
-
-    def weight(of: Column) -> Column:
-        out = F.lit(0.0)
-        for k, w in enumerate(weights):
-            out = F.when(of == k, F.lit(w)).otherwise(out)
-        return out
-
-    v = F.col("margin") / F.lit(float(len(points)))
-    value = add_margin(mixed)
-    return value.groupBy("row_id").agg(
-        F.sum(F.when(F.col("_s") == 0, v)).alias("base"),
-        F.sum(F.when(F.col("_s") == 2**m - 1, v)).alias("margin"),
-        *[
-            F.sum(F.when(inside[f], weight(size - 1) * v).otherwise(-weight(size) * v)).alias(f"phi_{f}")
-            for f in features
-        ],
-    )
-
-
 def to_long(wide: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
     cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"phi_{f}").alias("phi")) for f in features])
     return wide.select("row_id", "base", F.explode(cells).alias("c")).select("row_id", "c.feature", "c.phi", "base")

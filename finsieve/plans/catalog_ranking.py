@@ -15,6 +15,7 @@ from finsieve.constants import (
 )
 from finsieve.operators import attribution as at, gates, models as md, prep, ranking as rk
 from finsieve.operators.telemetry import traffic_by_format
+from finsieve.operators.tree_attribution import tree_attribution
 from finsieve.plans.registry import FEAT, SCORED, THRESHOLD, points, query
 from finsieve.plans.views import MODELS, features, ledger, rule_score, rule_terms, scored
 from finsieve.session import new_path, stage
@@ -501,14 +502,10 @@ def shapley_cases(spark, sf):
     return at.top_contributions(chosen, ("case", "row_id"))
 
 
-BACKGROUND_ROWS = 16
-
-
 def _model_values(spark, sf) -> tuple[PipelineModel, DataFrame, DataFrame]:
     model = fitted(spark, sf, md.SELECTED)
     rows = stage(prep.seeded_sample(test_fold(spark, sf), ATTRIBUTION_SAMPLE_ROWS), "explained")
-    background = prep.seeded_sample(train_fold(spark, sf), BACKGROUND_ROWS)
-    return model, rows, at.coalition_attribution(at.margin(model), rows, background)
+    return model, rows, tree_attribution(model, rows)
 
 
 @query("shapley_local")

@@ -1,5 +1,6 @@
 """Splits, samples, classifiers, scoring and attribution on the signal fixture."""
 
+import itertools
 import math
 
 import pytest
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from finsieve.constants import MODEL_FEATURES, SCORE_PARITY_TOLERANCE
 from finsieve.functions.columns import row_hash
-from finsieve.operators import attribution as at, features as ft, models as md, prep, ranking as rk
+from finsieve.operators import attribution as at, features as ft, models as md, prep, ranking as rk, tree_attribution as ta
+from finsieve.operators.tree_attribution import tree_attribution
 from finsieve.plans import jobs
 
 
@@ -132,31 +134,65 @@ def test_unknown_and_null_formats_are_scored(folds, boosted):
 
 
 def test_shapley_is_additive_and_finds_the_format(folds, boosted):
-    wide = at.coalition_attribution(at.margin(boosted), prep.seeded_sample(folds[1], 60), prep.seeded_sample(folds[0], 8)).cache()
-    assert at.additivity(wide).first().within_tolerance and wide.count() == 60
+    wide = tree_attribution(boosted, prep.seeded_sample(folds[1], 5000)).cache()
+    out = at.additivity(wide, tolerance=1e-9).first()
+    assert out.within_tolerance and out.n_rows == 5000
     scores = md.score_batch(boosted, folds[1]).withColumnRenamed("risk_score", "score")
     assert at.margin_checks(wide, scores).first().within_tolerance
     assert at.global_importance(at.to_long(wide)).first().feature == "payment_format"
 
 
-def test_shapley_of_a_sum_is_each_term_less_its_mean(spark, folds):
-    """The coalition sum agrees with the closed form on an additive score."""
-    def add(df):
-        return df.withColumn("margin", F.col("amount_paid") / 100 + 3 * F.col("is_business_hours") + F.col("sender_previous_tx_count"))
-    sample, background = prep.seeded_sample(folds[1], 25), prep.seeded_sample(folds[0], 10)
-    wide = at.coalition_attribution(add, sample, background)
-    terms = {"amount_paid": F.col("amount_paid") / 100, "is_business_hours": 3 * F.col("is_business_hours"),
-             "sender_previous_tx_count": F.col("sender_previous_tx_count")}
-    closed = {(r.row_id, r.feature): r.phi for r in at.additive_attribution(sample, terms, background).collect()}
-    for r in wide.collect():
-        for f in terms:
-            assert r[f"phi_{f}"] == pytest.approx(closed[r.row_id, f], abs=1e-9)
-        assert r.phi_payment_format == pytest.approx(0, abs=1e-9) and r.phi_same_account == pytest.approx(0, abs=1e-9)
-
-
-def test_background_must_be_small(folds, boosted):
-    with pytest.raises(ValueError, match="background"):
-        at.coalition_attribution(at.margin(boosted), folds[1], folds[0])
+def test_tree_shapley_equals_all_coalitions(folds):
+    """Every subset of features, each tree walked by what is known and by training weight where not."""
+    model = md.fit(folds[0].limit(3000), md.specs(4)["boosted_weighted"])
+    rows = prep.seeded_sample(folds[1], 12).unionByName(folds[1].limit(1).withColumns({"payment_format": F.lit("Barter"), "row_id": F.lit(-1).cast("long")}))
+    last, features = model.stages[-1], MODEL_FEATURES
+    moved = model.transform(rows)
+    groups = ta.slot_groups(model, features, moved.schema["features"].metadata)
+
+    def read(node):
+        if node.numDescendants() == 0:
+            return node.prediction()
+        split = node.split()
+        if split.getClass().getSimpleName() == "ContinuousSplit":
+            cut = split.threshold()
+            left = lambda v: v <= cut
+        else:
+            lows = set(split.leftCategories())
+            left = lambda v: v in lows
+        share = node.leftChild().impurityStats().stats()[0] / node.impurityStats().stats()[0]
+        return split.featureIndex(), left, share, read(node.leftChild()), read(node.rightChild())
+
+    def expected(node, x, known):
+        if isinstance(node, float):
+            return node
+        slot, goes_left, share, left, right = node
+        if groups[slot] in known:
+            return expected(left if goes_left(x[slot]) else right, x, known)
+        return share * expected(left, x, known) + (1 - share) * expected(right, x, known)
+
+    got = {r.row_id: r for r in tree_attribution(model, rows).collect()}
+    roots = [read(t._java_obj.rootNode()) for t in last.trees]
+    for r in moved.collect():
+        x = r.features.toArray()
+        value = {}
+        for size in range(6):
+            for known in itertools.combinations(range(5), size):
+                value[known] = sum(2 * w * expected(root, x, known) for w, root in zip(last.treeWeights, roots))
+        assert got[r.row_id].base == pytest.approx(value[()], abs=1e-9)
+        for f, name in enumerate(features):
+            phi = 0.0
+            for known, v in value.items():
+                if f not in known:
+                    weight = math.factorial(len(known)) * math.factorial(4 - len(known)) / math.factorial(5)
+                    phi += weight * (value[tuple(sorted((*known, f)))] - v)
+            assert got[r.row_id][f"phi_{name}"] == pytest.approx(phi, abs=1e-9)
+
+
+def test_only_boosted_trees_have_tree_attribution(folds):
+    model = md.fit(folds[0].limit(500), md.specs(1)["logistic_plain"])
+    with pytest.raises(at.NoMarginError):
+        tree_attribution(model, folds[1])
 
 
 def test_train_and_evaluate_jobs(spark, signal, tmp_path):
