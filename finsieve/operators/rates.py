@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType
 
 from finsieve.constants import BANK_MIN_SUPPORT, SEED, TARGET, VELOCITY_BANDS, VISUAL_SAMPLE_ROWS
 from finsieve.functions.columns import velocity_band
@@ -87,12 +88,17 @@ def illicit_entities(df: DataFrame, label: str = TARGET) -> DataFrame:
     )
 
 
-def contingency(df: DataFrame, rows: str, columns: str, values: Sequence[str]) -> DataFrame:
-    """Zero-filled counts of ``rows`` by the listed values of ``columns``; ``other`` counts all rows off the list, nulls too."""
-    listed = F.col(columns).isin(*values)
-    return df.groupBy(rows).agg(
-        *[F.count_if(F.col(columns) == v).alias(v) for v in values], F.count_if(~F.coalesce(listed, F.lit(False))).alias("other")
-    )
+def contingency(df: DataFrame, rows: str, columns: str) -> DataFrame:
+    """(rows, columns, n): counts of each value of ``rows`` with each of ``columns`` that occurs, 0 where the two do not meet; null is a value.
+
+    ``rows`` is a column of few values, such as a flag; ``columns`` may have any number.
+    """
+    counts = stage(df.groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n")), "counts")
+    kind = counts.schema[rows].dataType
+    values = F.array(*[F.lit(r[0]).cast(kind) for r in counts.select(rows).distinct().collect()]).cast(ArrayType(kind))
+    cells = counts.select(F.col(columns).alias("_c")).distinct().select("_c", F.explode(values).alias("_r"))
+    met = F.col("_c").eqNullSafe(F.col(columns)) & F.col("_r").eqNullSafe(F.col(rows))
+    return cells.join(counts, met, "left").select(F.col("_r").alias(rows), F.col("_c").alias(columns), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:

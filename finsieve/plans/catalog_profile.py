@@ -321,14 +321,11 @@ def illicit_entities(spark, sf):
     return rates.illicit_entities(ledger(spark, sf))
 
 
-_FORMATS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-
-
-@query("crosstab_same_format", FEAT + "select same_account, " + ", ".join(
-    f"""count(*) filter (payment_format = '{v}') as "{v}" """ for v in _FORMATS) + """, count(*) filter (payment_format is null or payment_format not in ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'))
-       as other from f group by 1""")
+@query("crosstab_same_format", FEAT + """, r as (select distinct same_account from f), c as (select distinct payment_format from f)
+select r.same_account, c.payment_format, count(f.row_id) as n
+from r cross join c left join f on f.same_account is not distinct from r.same_account and f.payment_format is not distinct from c.payment_format group by 1, 2""")
 def crosstab_same_format(spark, sf):
-    return rates.contingency(ft.add_same_account(ledger(spark, sf)), "same_account", "payment_format", _FORMATS)
+    return rates.contingency(ft.add_same_account(ledger(spark, sf)), "same_account", "payment_format")
 
 
 _REDUNDANT = ("same_bank", "same_account", "amount_paid", "amount_received")

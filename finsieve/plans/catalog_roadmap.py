@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from finsieve.constants import PRECISION_TARGETS
-from finsieve.operators import ranking as rk, rolling as ro
+from finsieve.operators import calibration as ca, ranking as rk, rolling as ro
 from finsieve.plans.registry import SCORED, TX, query
 from finsieve.plans.views import ledger, scored
 
@@ -31,11 +31,14 @@ def roll_diversity(spark, sf):
 
 @query("amount_zscore", TX + """, w as (select row_id, amount_paid, count(*) over p as n, avg(amount_paid) over p as m, stddev_samp(amount_paid) over p as s
 from tx window p as (partition by account order by ts range between unbounded preceding and interval 1 microsecond preceding))
-select row_id, case when n >= 2 then round(greatest(-1000, least(1000, (amount_paid - m) / nullif(s, 0))), 3) + 0.0e0 end as amount_z from w""", digits=3)
+select row_id, case when abs(z) < 1000 then round(z, 3) + 0.0e0 else round(z / pow(10, floor(log10(abs(z))) - 2)) * pow(10, floor(log10(abs(z))) - 2) end as amount_z
+from (select row_id, case when n >= 2 then (amount_paid - m) / nullif(s, 0) end as z from w)""", digits=3)
 def amount_zscore(spark, sf):
     rows = ledger(spark, sf).select("row_id", "account", "ts", "amount_paid")
-    bounded = F.greatest(F.lit(-1000.0), F.least(F.lit(1000.0), F.col("amount_z")))
-    return ro.amount_zscore(rows).select("row_id", F.when(F.col("amount_z").isNotNull(), F.round(bounded, 3) + 0.0).alias("amount_z"))
+    z, unit = F.col("amount_z"), F.pow(F.lit(10.0), F.floor(F.log10(F.abs("amount_z"))) - 2)
+    # Three decimals, and three digits of what is larger, as engines add in another order.
+    return ro.amount_zscore(rows).select(
+        "row_id", F.when(F.abs(z) < 1000, F.round(z, 3) + 0.0).otherwise(F.round(z / unit, 0) * unit).alias("amount_z"))
 
 
 @query("fan_in_out", TX + """, o as (select account, count(distinct counterparty) as fan_out, count(*) as n_out from tx group by 1),
@@ -94,3 +97,28 @@ def threshold_validated(spark, sf):
     rows = scored(spark, sf).withColumn("fold", fold)
     valid, test = rows.filter("fold = 'valid'").drop("fold"), rows.filter("fold = 'test'").drop("fold")
     return ro.threshold_validated(valid, test, rk.operating_point(valid, PRECISION_TARGETS[3]))
+
+
+@query("calibrated", SCORED + f""", s as materialized (select *, {_FOLD} as fold from (
+  select *, substr(md5(concat('fold-', row_id)), 1, 4) as h from scored)),
+c as materialized (select model, score, sum(count(*)) over w as n, sum(sum(label)) over w as p, row_number() over w as i from s where fold = 'valid' group by model, score
+      window w as (partition by model order by score)),
+lows as (select a.model, a.i, a.score, min((z.p - coalesce(b.p, 0)) / (z.n - coalesce(b.n, 0))) as low
+         from c a join c j on j.model = a.model and j.i <= a.i left join c b on b.model = j.model and b.i = j.i - 1
+         join c z on z.model = a.model and z.i >= a.i group by a.model, a.i, a.score, j.i),
+fit as materialized (select model, score, max(low) as v from lows group by model, i, score),
+q as (select distinct model, score from s where fold = 'test'),
+near as (select q.model, q.score, max(f.score) filter (f.score <= q.score) as s0, min(f.score) filter (f.score >= q.score) as s1
+         from q join fit f using (model) group by 1, 2),
+val as (select n.model, n.score, case when s0 is null then b.v when s1 is null or s0 = s1 then a.v else a.v + (n.score - s0) / (s1 - s0) * (b.v - a.v) end as v
+        from near n left join fit a on a.model = n.model and a.score = s0 left join fit b on b.model = n.model and b.score = s1),
+t as (select model, v, label from s join val using (model, score) where fold = 'test')
+select model, cast(least(floor(round(v, 9) * 50), 49) as integer) as bin, count(*) as n, round(avg(v), 6) as mean_score, round(avg(cast(label as double)), 6) as observed_rate,
+       round(avg((v - label) * (v - label)), 6) as brier, round(avg(v) - avg(cast(label as double)), 6) + 0.0e0 as gap from t group by 1, 2""")
+def calibrated(spark, sf):
+    """Fitted on one fold; the bins are those of another."""
+    fold = F.expr(_FOLD.replace("h <", "substr(md5(concat('fold-', row_id)), 1, 4) <"))
+    rows = scored(spark, sf).withColumn("fold", fold)
+    steps = ca.isotonic(rows.filter("fold = 'valid'"))
+    done = ca.calibrate(rows.filter("fold = 'test'").drop("fold"), steps)
+    return ro.calibration_bins(done.withColumn("score", F.round("score", 9)), bins=50).withColumn("gap", F.round("gap", 6) + 0.0)
