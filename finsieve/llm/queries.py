@@ -111,30 +111,27 @@ def _quality(spark, d):
 
 
 OP9_SQL = """
-with l as (select doc_id, r, i, line, w from (
-             select doc_id, r, i, line, len(list_filter(regexp_split_to_array(line, '[\t\n\x0B\f\r ]+'), lambda x: x <> '')) as w
-             from (select doc_id, r, unnest(range(len(ls))) as i, unnest(ls) as line
-                   from (select doc_id, row_number() over () as r, string_split(text, chr(10)) as ls from documents where text is not null)))
-           where w > 0),
-     s as (select r, i, min(n) as n from (
-             select a.r, a.i, cast(b.i - a.i + 1 as integer) as n, a.doc_id,
-                    sum(b.w) over (partition by a.r, a.i order by b.i) as total,
-                    count(*) over (partition by a.r, a.i order by b.i) as seen
-             from l a join l b on a.r = b.r and b.i between a.i and a.i + 4)
-           where total >= 5 and seen = n group by r, i),
-     k as (select s.r, s.i, s.n, any_value(l.doc_id) as doc_id, string_agg(l.line, chr(10) order by l.i) as run
-           from s join l on l.r = s.r and l.i between s.i and s.i + s.n - 1 group by s.r, s.i, s.n),
-     f as (select run, min((doc_id, r, i)) as first from k group by run),
-     gone as (select distinct k.r, unnest(range(k.i, k.i + k.n)) as i from k join f using (run) where (k.doc_id, k.r, k.i) <> f.first),
-     g as (select r, count(*) as n_deleted from gone group by r),
-     kept as (select d.r, string_agg(d.line, chr(10) order by d.i) as left_over
-              from (select r, unnest(range(len(ls))) as i, unnest(ls) as line
-                    from (select row_number() over () as r, string_split(text, chr(10)) as ls from documents where text is not null)) d
-              anti join gone on d.r = gone.r and d.i = gone.i group by d.r)
+with recursive
+     d as materialized (select row_number() over () as r, doc_id, text from documents),
+     s as (select r, doc_id, unnest(range(len(ls))) as i, unnest(ls) as line
+           from (select r, doc_id, string_split(text, chr(10)) as ls from d where text is not null)),
+     w as (select *, len(list_filter(regexp_split_to_array(line, '[\t\n\x0B\f\r ]+'), lambda x: x <> '')) as words from s),
+     l as materialized (select r, i, line, words, row_number() over o + dense_rank() over (order by doc_id nulls first, r) as g, sum(words) over o as total
+           from w where words > 0 window o as (order by doc_id nulls first, r, i)),
+     alive(n, g, c) as (
+       select 1, g, min(g) over (partition by line) from l qualify count(*) over (partition by line) > 1
+       union all
+       select n + 1, a.g, min(a.g) over p from alive a join l on l.g = a.g + a.n
+       window p as (partition by a.c, l.line) qualify count(*) over p > 1),
+     m as (select g, max(n) as n from alive where c < g group by g),
+     runs as (select a.g, m.n from m join l a using (g) join l z on z.g = a.g + m.n - 1 where z.total - a.total + a.words >= 5),
+     gone as (select distinct l.r, l.i from (select unnest(range(g, g + n)) as g from runs) x join l using (g)),
+     kept as (select s.r, string_agg(s.line, chr(10) order by s.i) as left_over from s anti join gone on s.r = gone.r and s.i = gone.i group by s.r),
+     k as (select r, count(*) as n_deleted from gone group by r)
 select d.doc_id, cast(case when d.text is null then 0 else len(string_split(d.text, chr(10))) end as integer) as n_lines,
        cast(coalesce(n_deleted, 0) as integer) as n_deleted,
        case when d.text is null then null else coalesce(left_over, '') end as text
-from (select row_number() over () as r, * from documents) d left join g using (r) left join kept using (r)
+from d left join k using (r) left join kept using (r)
 """
 
 
