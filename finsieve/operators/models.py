@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from finsieve.constants import MODEL_FEATURES, MODEL_VERSION, SEED, SERVING_THRESHOLD, TARGET
 from finsieve.operators.prep import add_weight, preprocessing, undersample
+from finsieve.operators.ranking import average_precision
 
 BOOSTING_ROUNDS = 200
 
@@ -140,3 +141,12 @@ def score_parity(left: DataFrame, right: DataFrame, tolerance: float) -> DataFra
     ).withColumn(
         "within_tolerance", (F.col("n_unmatched") == 0) & (F.coalesce("max_abs_diff", F.lit(0.0)) <= tolerance)
     )
+
+
+def ablation(full: DataFrame, less: DataFrame, dropped: str) -> DataFrame:
+    """(dropped, average_precision, without, difference): what two scored tables of one model, the second fitted without a feature, differ by."""
+    both = full.withColumn("model", F.lit("full")).unionByName(less.withColumn("model", F.lit("less")))
+    ap = average_precision(both)
+    of = lambda m: F.max(F.when(F.col("model") == m, F.col("average_precision")))
+    out = ap.agg(of("full").alias("average_precision"), of("less").alias("without"))
+    return out.select(F.lit(dropped).alias("dropped"), "average_precision", "without", (F.col("without") - F.col("average_precision")).alias("difference"))

@@ -340,12 +340,12 @@ def regression_verdict(spark, sf):
 _FITTED: dict[tuple[str, str, str], str] = {}
 
 
-def fitted(spark, sf, name: str) -> PipelineModel:
+def fitted(spark, sf, name: str, drop: tuple[str, ...] = ()) -> PipelineModel:
     """A model over the train fold, fitted and saved once per application and read back by every query."""
-    key = (spark.sparkContext.applicationId, str(sf), name)
+    key = (spark.sparkContext.applicationId, str(sf), " ".join([name, *drop]))
     if key not in _FITTED:
         path = new_path(spark, name)
-        md.fit(train_fold(spark, sf), md.specs()[name]).write().save(path)
+        md.fit(train_fold(spark, sf), md.specs()[name], drop).write().save(path)
         _FITTED[key] = path
     return PipelineModel.load(_FITTED[key])
 
@@ -397,6 +397,14 @@ def model_comparison(spark, sf):
     return rk.average_precision(rows).join(rk.threshold_metrics(rows, 0.5), "model").orderBy(F.desc("average_precision"))
 
 
+@query("ablation")
+def ablation(spark, sf):
+    """The selected model with and without ``same_account``, on the same test fold."""
+    test = test_fold(spark, sf)
+    full, less = (md.scored(fitted(spark, sf, md.SELECTED, drop), test, md.SELECTED) for drop in ((), ("same_account",)))
+    return md.ablation(full, less, "same_account")
+
+
 @query("score_batch")
 def score_batch(spark, sf):
     return md.score_batch(fitted(spark, sf, md.SELECTED), test_fold(spark, sf))

@@ -52,3 +52,12 @@ def test_scores_between_and_outside_steps(spark):
     assert [out[i] for i in range(7)] == pytest.approx([0, 0, 0.25, 0.5, 0.75, 1, 1]) and out[7] is None
     assert {r.score for r in ca.calibrate(rows(spark, [(0.5, 0)], "other"), ca.isotonic(fit)).collect()} == {None}
     assert ca.isotonic(fit.limit(0)).count() == 0 and ca.calibrate(asked.limit(0), ca.isotonic(fit)).count() == 0
+
+
+def test_contingency_has_every_value_that_occurs(spark):
+    from finsieve.operators import rates
+
+    df = spark.createDataFrame([(0, "a"), (0, "a"), (1, None), (1, "new"), (None, "a")], "flag int, format string")
+    got = {(r.flag, r.format): r.n for r in rates.contingency(df, "flag", "format").collect()}
+    assert got == {(f, v): {(0, "a"): 2, (1, None): 1, (1, "new"): 1, (None, "a"): 1}.get((f, v), 0) for f in (0, 1, None) for v in ("a", None, "new")}
+    assert rates.contingency(df.limit(0), "flag", "format").count() == 0

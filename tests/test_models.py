@@ -215,3 +215,14 @@ def test_margin_stays_finite_and_forests_are_refused(spark):
     assert all(abs(m) < float("inf") for m in out) and out[0] > 100 > -100 > out[1]
     with pytest.raises(at.NoMarginError):
         at.margin(RandomForestClassifier(numTrees=2, maxDepth=2).fit(rows))
+
+
+def test_ablation_reports_the_loss(folds, boosted):
+    """Without the format, which carries the signal, precision falls; without the flag it hardly moves."""
+    full, spec = md.scored(boosted, folds[1], "b"), md.specs(15)["boosted_weighted"]
+    moved = {}
+    for f in ("payment_format", "same_account"):
+        out = md.ablation(full, md.scored(md.fit(folds[0], spec, (f,)), folds[1], "b"), f).first()
+        assert out.dropped == f and out.difference == pytest.approx(out.without - out.average_precision)
+        moved[f] = out.difference
+    assert moved["payment_format"] < -0.01 and abs(moved["same_account"]) < abs(moved["payment_format"]) / 2
