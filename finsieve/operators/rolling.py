@@ -1,54 +1,79 @@
 """Rolling behaviour of senders and the shape of the payment graph, without future information.
 
-A window over an account runs in one task, however many payments it has. Here rows go to
-(account, time slice): a slice is as long as the longest look-back, and every row is also
-history for the next slice. So an account with a third of the ledger is spread over its
-time, each row is sent twice, and no history is cut.
+A window over an account runs in one task, however many payments it has. Here a look-back
+is the difference of two running sums over the account's instants, and ``ordered`` runs
+those along slices. So an account with a third of the ledger in one week is spread like
+the rest, and no history is cut. Rows without a time keep null features.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from finsieve.operators.ordered import exact_quantiles, running_sums
+from finsieve.operators.ordered import ROWS_PER_TASK, exact_quantiles, row_rank, running_sums
+from finsieve.session import stage
 
 HOUR = 3_600_000_000
 VELOCITY = {"1h": HOUR, "24h": 24 * HOUR, "7d": 168 * HOUR}
+#: Running sums of money are exact in millionths, since differences of sums of doubles lose the small ones.
+MONEY = "decimal(28,6)"
 
 
-def _sliced(df: DataFrame, key: str, length: int) -> DataFrame:
-    at = F.unix_micros("ts")
-    own = F.floor(at / length)
-    return df.withColumn("_at", at).withColumn("_home", own).withColumn(
-        "_slice", F.explode(F.array(F.col("_home"), F.col("_home") + 1))
-    )
-
-
-def _past(key: str, length: int) -> Window:
-    """Rows of the key up to ``length`` microseconds before a row; rows at its own instant are not earlier."""
-    return Window.partitionBy(key, "_slice").orderBy("_at").rangeBetween(-length, -1)
-
-
-def _home(df: DataFrame) -> DataFrame:
-    return df.filter("_slice = _home").drop("_at", "_home", "_slice")
+def _attach(df: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Join ``found`` (``_key``, ``_when``, features) to the rows of its key and instant."""
+    features = [c for c in found.columns if c not in ("_key", "_when")]
+    rows = df.withColumn("_t", F.unix_micros("ts"))
+    return rows.join(found, rows[key].eqNullSafe(found["_key"]) & (rows["_t"] == found["_when"]), "left").select(*df.columns, *features)
 
 
 def rolling_velocity(df: DataFrame, key: str = "account", amount: str = "amount_paid",
-                     spans: dict[str, int] = VELOCITY) -> DataFrame:
-    """Add count and sum of the sender's strictly earlier payments within each span (microseconds)."""
-    rows = _sliced(df, key, max(spans.values()))
-    for name, length in spans.items():
-        past = _past(key, length)
-        rows = rows.withColumns({
-            f"n_{name}": F.count(F.lit(1)).over(past), f"sum_{name}": F.coalesce(F.sum(amount).over(past), F.lit(0.0)),
-        })
-    return _home(rows)
-
-
-def rolling_diversity(df: DataFrame, key: str = "account", other: str = "counterparty", span: int = VELOCITY["7d"]) -> DataFrame:
-    """Add ``n_counterparties``: distinct counterparties of the sender's strictly earlier payments within the span."""
-    rows = _sliced(df, key, span)
-    return _home(rows.withColumn("n_counterparties", F.size(F.collect_set(other).over(_past(key, span)))))
+                     spans: dict[str, int] = VELOCITY, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Add count and sum of the sender's strictly earlier payments within each span (microseconds).
+
+    Amounts that are null or not finite count as payments of nothing. Each instant asks for the
+    running sums before itself and before the start of each span, by rows that add nothing.
+    """
+    value = F.col(amount).try_cast(MONEY)
+    instants = df.filter(F.col("ts").isNotNull()).groupBy(F.col(key).alias("_key"), F.unix_micros("ts").alias("_home")).agg(
+        F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum(value), F.lit(0)).cast("decimal(38,6)").alias("_s")
+    )
+    zero = F.lit(0).cast("decimal(38,6)")
+    own = F.struct(F.col("_home").alias("_when"), F.lit(len(spans)).alias("_ask"), F.lit(1).alias("_own"), "_n", "_s")
+    asks = [
+        F.struct((F.col("_home") - length).alias("_when"), F.lit(i).alias("_ask"), F.lit(0).alias("_own"), F.lit(0).cast("long").alias("_n"), zero.alias("_s"))
+        for i, length in enumerate(spans.values())
+    ]
+    rows = instants.select("_key", "_home", F.explode(F.array(*asks, own)).alias("_e")).select("_key", "_home", "_e.*")
+    runs = running_sums(rows, ["_key"], [("_when", "asc"), ("_own", "asc")], {"_cn": "_n", "_cs": "_s"}, rows_per_task=rows_per_task)
+    of = lambda i, c: F.max(F.when(F.col("_ask") == i, c))
+    n, s = F.col("_cn") - F.col("_n"), F.col("_cs") - F.col("_s")
+    found = runs.groupBy("_key", F.col("_home").alias("_when")).agg(*[
+        c for i, name in enumerate(spans)
+        for c in ((of(len(spans), n) - of(i, n)).alias(f"n_{name}"), (of(len(spans), s) - of(i, s)).cast("double").alias(f"sum_{name}"))
+    ])
+    return _attach(df, found, key)
+
+
+def rolling_diversity(df: DataFrame, key: str = "account", other: str = "counterparty", span: int = VELOCITY["7d"],
+                      rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Add ``n_counterparties``: distinct counterparties of the sender's strictly earlier payments within the span.
+
+    A payment counts for its counterparty until the span is over or the next payment to the same one
+    takes its place. So a counterparty counts once at any instant, and the distinct count is a
+    running sum of intervals begun less intervals ended. A null counterparty counts for nothing.
+    """
+    timed = df.filter(F.col("ts").isNotNull()).select(F.col(key).alias("_key"), F.col(other).alias("_other"), F.unix_micros("ts").alias("_when"))
+    paid = stage(timed.filter(F.col("_other").isNotNull()).distinct(), "paid")
+    placed = stage(row_rank(paid, ["_key", "_other"], [("_when", "asc")], "_i", rows_per_task), "placed")
+    after = placed.select(F.col("_key").alias("_k2"), F.col("_other").alias("_o2"), (F.col("_i") - 1).alias("_i2"), F.col("_when").alias("_next"))
+    pair = placed["_key"].eqNullSafe(after["_k2"]) & (placed["_other"] == after["_o2"]) & (placed["_i"] == after["_i2"])
+    until = F.least(F.col("_when") + span, F.col("_next"))
+    ends = placed.join(after, pair, "left").select("_key", F.explode(F.array(
+        F.struct("_when", F.lit(1).alias("_d")), F.struct(until.alias("_when"), F.lit(-1).alias("_d")))).alias("_e")).select("_key", "_e.*")
+    asked = timed.select("_key", "_when", F.lit(0).alias("_d"))
+    steps = ends.unionByName(asked).groupBy("_key", "_when").agg(F.sum("_d").alias("_d"))
+    runs = running_sums(steps, ["_key"], [("_when", "asc")], {"_c": "_d"}, rows_per_task=rows_per_task)
+    return _attach(df, runs.select("_key", "_when", (F.col("_c") - F.col("_d")).cast("int").alias("n_counterparties")), key)
 
 
 def amount_zscore(df: DataFrame, key: str = "account", amount: str = "amount_paid") -> DataFrame:
