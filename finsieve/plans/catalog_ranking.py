@@ -92,10 +92,11 @@ def onehot_unknown(spark, sf):
 
 
 @query("scaled_numeric", FEAT + """,
-p as (select avg(amount_paid) as m1, stddev_samp(amount_paid) as s1, avg(sender_previous_tx_count) as m2, stddev_samp(sender_previous_tx_count) as s2
-      from f where split = 'train')
+w as (select row_id, amount_paid, sender_previous_tx_count, avg(amount_paid) filter (split = 'train') over () as m1,
+             stddev_samp(amount_paid) filter (split = 'train') over () as s1, avg(sender_previous_tx_count) filter (split = 'train') over () as m2,
+             stddev_samp(sender_previous_tx_count) filter (split = 'train') over () as s2 from f)
 select row_id, round((amount_paid - m1) / s1, 5) + 0.0e0 as amount_paid_scaled,
-       round((sender_previous_tx_count - m2) / s2, 5) + 0.0e0 as prior_count_scaled from f, p""", digits=5)
+       round((sender_previous_tx_count - m2) / s2, 5) + 0.0e0 as prior_count_scaled from w""", digits=5)
 def scaled_numeric(spark, sf):
     scaler = Pipeline(stages=[
         VectorAssembler(inputCols=list(NUMERIC_FEATURES), outputCol="numeric"),

@@ -7,6 +7,7 @@ import json
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs as pa_fs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from finsieve.constants import (
@@ -18,19 +19,36 @@ _TYPES = {
     "amount_received": T.DoubleType(), "amount_paid": T.DoubleType(), "is_laundering": T.IntegerType(),
 }
 CORRUPT = "_corrupt_record"
+#: Bytes per read of a header.
+HEADER_READ = 1 << 16
 
 
 class HeaderError(ValueError):
     """A ledger file's header lacks columns of the contract, or files disagree; the message names them."""
 
 
+def _first_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For ``mapInArrow`` over file paths: the first line of each file, read no further than that."""
+    for batch in batches:
+        lines = []
+        for path in batch.column(0).to_pylist():
+            system, at = pa_fs.FileSystem.from_uri(path)
+            head = b""
+            with system.open_input_stream(at, compression="detect", buffer_size=None) as stream:
+                while b"\n" not in head and b"\r" not in head and (more := stream.read(HEADER_READ)):
+                    head += more
+            lines.append((head.splitlines() or [b""])[0].decode("utf-8", "replace"))
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["h"])
+
+
 def text_header(spark: SparkSession, path: str) -> list[str]:
     """The column names of the ledger text under ``path``, a repeated one with ``.1`` behind it.
 
-    All files must have the same header. Only first lines leave the scan.
+    All files that are not empty must have the same header. Files are listed and tasks read the
+    first bytes of each, so the text itself is scanned only once, for its rows.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"))
-    firsts = lines.filter("b = 0").groupBy("f").agg(F.first("value").alias("h")).select("h").distinct().limit(2).collect()
+    files = spark.read.format("binaryFile").load(path).filter("length > 0").select("path")
+    firsts = files.mapInArrow(_first_lines, "h string").filter("h <> ''").distinct().limit(2).collect()
     if len(firsts) != 1:
         raise HeaderError("the files have different headers" if firsts else "there is no header")
     names = next(csv.reader([firsts[0].h.lstrip("\ufeff")]))

@@ -186,3 +186,43 @@ def test_all_missing_names_are_told(spark, tmp_path):
     (tmp_path / "b.csv").write_text("Timestamp,Account\n")
     with pytest.raises(src.HeaderError, match="different headers"):
         src.scan_ledger_text(spark, str(tmp_path))
+
+
+def test_header_is_read_without_the_text(tmp_path, monkeypatch):
+    """A file is read up to its first line's end; long headers, compressed and empty files too."""
+    import gzip
+    import pyarrow as pa
+    from finsieve.sources import ledger
+
+    (tmp_path / "big.csv").write_bytes(b"a,b\n" + b"1,2\n" * 2_000_000)
+    long = ",".join(f"column{i}" for i in range(20_000))
+    (tmp_path / "long.csv").write_text(long + "\r\n1\n")
+    (tmp_path / "z.csv.gz").write_bytes(gzip.compress(b"a,b\n1,2\n"))
+    (tmp_path / "no.csv").write_bytes(b"")
+    read, keep = [], ledger.pa_fs.FileSystem
+
+    class Watched:
+        @staticmethod
+        def from_uri(uri):
+            system, at = keep.from_uri(uri)
+
+            class Opening:
+                def open_input_stream(self, *args, **kw):
+                    stream = system.open_input_stream(*args, **kw)
+
+                    class Reading:
+                        __enter__ = lambda s: s
+                        __exit__ = lambda s, *a: stream.close()
+
+                        def read(self, n):
+                            read.append(n)
+                            return stream.read(n)
+                    return Reading()
+            return Opening(), at
+
+    monkeypatch.setattr(ledger.pa_fs, "FileSystem", Watched)
+    names = ("big.csv", "long.csv", "z.csv.gz", "no.csv")
+    batch = pa.RecordBatch.from_arrays([pa.array([f"file://{tmp_path}/{n}" for n in names])], names=["path"])
+    lines = [x for out in ledger._first_lines([batch]) for x in out.column(0).to_pylist()]
+    assert lines == ["a,b", long, "a,b", ""]
+    assert len(read) <= 1 + len(long) // ledger.HEADER_READ + 1 + 1 + 1
