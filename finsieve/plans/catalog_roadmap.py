@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from finsieve.constants import PRECISION_TARGETS
-from finsieve.operators import calibration as ca, ranking as rk, rolling as ro
-from finsieve.plans.registry import SCORED, TX, query
+from finsieve.operators import calibration as ca, ranking as rk, rolling as ro, smote
+from finsieve.plans.catalog_ranking import train_fold
+from finsieve.plans.registry import FEAT, SCORED, TX, query
 from finsieve.plans.views import ledger, scored
 
 _SPANS = {"1h": "1 hour", "24h": "24 hour", "7d": "168 hour"}
@@ -122,3 +123,24 @@ def calibrated(spark, sf):
     steps = ca.isotonic(rows.filter("fold = 'valid'"))
     done = ca.calibrate(rows.filter("fold = 'test'").drop("fold"), steps)
     return ro.calibration_bins(done.withColumn("score", F.round("score", 9)), bins=50).withColumn("gap", F.round("gap", 6) + 0.0)
+
+
+@query("smotenc_neighbours", FEAT + """, m as materialized (select row_id, amount_paid as a, cast(sender_previous_tx_count as double) as b, payment_format as f,
+  is_business_hours as g, same_account as h from f where split = 'train' and is_laundering = 1),
+p as (select pow((stddev_samp(a) + stddev_samp(b)) / 2, 2) as q from m),
+d as (select x.row_id, y.row_id as neighbour, (x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b) + (select q from p) * (
+      cast(x.f <> y.f as integer) + cast(x.g <> y.g as integer) + cast(x.h <> y.h as integer)) as distance2 from m x join m y on x.row_id <> y.row_id),
+r as (select *, row_number() over (partition by row_id order by distance2, neighbour) as rank from d)
+select row_id, cast(rank as integer) as rank, round(sqrt(distance2), 3) as distance from r where rank <= 5""", digits=3)
+def smotenc_neighbours(spark, sf):
+    """Distances of the five nearest rows of each illicit training row; which row it is may hang on the last bit of a tie."""
+    rows = train_fold(spark, sf).filter("is_laundering = 1")
+    return smote.neighbours(rows).select("row_id", "rank", F.sqrt("distance2").alias("distance"))
+
+
+@query("smotenc")
+def smotenc(spark, sf):
+    """As many synthetic illicit rows as balance the training fold."""
+    rows = train_fold(spark, sf)
+    sizes = {r[0]: r[1] for r in rows.groupBy("is_laundering").count().collect()}
+    return smote.smotenc(rows, sizes.get(0, 0) - sizes.get(1, 0))
