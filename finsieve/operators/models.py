@@ -10,8 +10,8 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from finsieve.constants import MODEL_FEATURES, MODEL_VERSION, SEED, SERVING_THRESHOLD, TARGET
-from finsieve.operators.prep import add_weight, preprocessing, undersample
+from finsieve.constants import MODEL_FEATURES, MODEL_VERSION, NUMERIC_FEATURES, SEED, SERVING_THRESHOLD, TARGET
+from finsieve.operators.prep import add_weight, bin_cuts, binning, cells, preprocessing, undersample
 from finsieve.operators.ranking import average_precision
 
 BOOSTING_ROUNDS = 200
@@ -22,12 +22,13 @@ class MissingFeatureError(ValueError):
 
 
 class Spec(NamedTuple):
-    """How a model is trained: estimator, class weighting, linear scaling, undersampling."""
+    """How a model is trained: estimator, class weighting, linear scaling, undersampling, on rows or on cells of equal bins."""
 
     estimator: Callable[[int, bool], object]
     weight: str | None = None
     scale: bool = False
     under: bool = False
+    cells: bool = False
 
 
 def _logistic(rows: int, weighted: bool) -> LogisticRegression:
@@ -63,8 +64,8 @@ def specs(rounds: int = BOOSTING_ROUNDS) -> dict[str, Spec]:
         "logistic_balanced": Spec(_logistic, weight="balanced", scale=True),
         "logistic_plain": Spec(_logistic, scale=True),
         "random_forest": Spec(_forest, weight="balanced"),
-        "boosted_weighted": Spec(boosted(rounds), weight="scale_pos"),
-        "boosted_undersampled": Spec(boosted(rounds), under=True),
+        "boosted_weighted": Spec(boosted(rounds), weight="scale_pos", cells=True),
+        "boosted_undersampled": Spec(boosted(rounds), under=True, cells=True),
     }
 
 
@@ -72,7 +73,10 @@ SELECTED = "boosted_weighted"
 
 
 def fit(train: DataFrame, spec: Spec, drop: Sequence[str] = ()) -> PipelineModel:
-    """Fit preprocessing and classifier on the train fold, after any undersampling."""
+    """Fit preprocessing and classifier on the train fold, after any undersampling.
+
+    Two hundred rounds of boosting pass over their table some thousand times, so it holds cells and not rows.
+    """
     if spec.under:
         train = undersample(train)
     if spec.weight:
@@ -80,6 +84,14 @@ def fit(train: DataFrame, spec: Spec, drop: Sequence[str] = ()) -> PipelineModel
     columns = [c for c in MODEL_FEATURES if c not in drop]
     keep = [*columns, TARGET] + (["weight"] if spec.weight else [])
     train = train.select(*keep)
+    if spec.cells:
+        weight = "weight" if spec.weight else None
+        numbers = [c for c in NUMERIC_FEATURES if c in columns]
+        binned = binning(bin_cuts(train, numbers, weight))
+        table = cells(binned.transform(train), [*(f"{c}_bin" if c in numbers else c for c in columns), TARGET], weight)
+        prepared = preprocessing(drop=drop, binned=True).fit(table)
+        classifier = spec.estimator(0, True).fit(prepared.transform(table))
+        return PipelineModel(stages=[binned, *prepared.stages, classifier])
     prepared = preprocessing(spec.scale, drop).fit(train)
     rows = train.count() if spec.scale else 0
     classifier = spec.estimator(rows, spec.weight is not None).fit(prepared.transform(train))

@@ -9,14 +9,16 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from finsieve.constants import (
     BINARY_FEATURES, CATEGORICAL_FEATURES, NUMERIC_FEATURES, SEED, TARGET, TEST_SHARE, UNDERSAMPLE_RATIO,
 )
 from finsieve.functions.columns import is_test, row_hash
+from finsieve.session import stage
 
 
 def split_by_hash(df: DataFrame, share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
@@ -120,13 +122,73 @@ def seeded_sample(df: DataFrame, n: int, seed: int = SEED) -> DataFrame:
     return df.filter(first_by_hash(df, n, seed))
 
 
-def preprocessing(scale: bool = False, drop: Sequence[str] = ()) -> Pipeline:
+#: Bins of a number, as many as a tree of ``pyspark.ml`` tells apart, and the quantiles a class that their cuts are read off.
+BINS = 32
+GRID = 1000
+#: Rows that stand for a cell of more rows. Trees draw rows and ask for a number of them in a node: more than both need.
+CELL_ROWS = 20
+_CELLS_A_TASK = 25_000
+
+
+def bin_cuts(train: DataFrame, columns: Sequence[str], weight: str | None = None, label: str = TARGET) -> dict[str, list[float]]:
+    """Up to ``BINS`` - 1 cuts a column that part the training weight evenly, halfway between values as trees cut.
+
+    Values come from sketches per class: ``GRID`` quantiles of each are collected.
+    """
+    at = [(i + 0.5) / GRID for i in range(GRID)]
+    value = {c: F.col(c).cast("double") for c in columns}
+    known = {c: F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v) for c, v in value.items()}
+    mass = F.col(weight) if weight else F.lit(1.0)
+    rows = train.groupBy(label).agg(*[
+        x for c, v in known.items()
+        for x in (F.percentile_approx(v, at, 100_000).alias(f"q_{c}"), F.sum(F.when(v.isNotNull(), mass)).alias(f"w_{c}"))
+    ]).collect()
+    cuts = {}
+    for c in columns:
+        some = [r for r in rows if r[f"q_{c}"]]
+        grid = np.array([x for r in some for x in r[f"q_{c}"]])
+        share = np.array([r[f"w_{c}"] / GRID for r in some for _ in range(GRID)])
+        values, which = np.unique(grid, return_inverse=True)
+        places = np.arange(max(0, len(values) - 1))
+        if len(values) > BINS:
+            cum = np.bincount(which, share).cumsum()
+            places = np.unique(np.searchsorted(cum, cum[-1] * np.arange(1, BINS) / BINS).clip(0, len(values) - 2))
+        cuts[c] = ((values[places] + values[places + 1]) / 2).tolist() if len(places) else []
+    return cuts
+
+
+def binning(cuts: dict[str, list[float]]) -> SQLTransformer:
+    """A stage that adds ``<column>_bin``: how many cuts lie below the number. Null stays null, NaN is above all."""
+    bins = [
+        f"case when `{c}` is not null then cast(size(filter(cast(array({', '.join(f'{x!r}D' for x in at)}) as array<double>), t -> t < `{c}`)) as double) end as `{c}_bin`"
+        for c, at in cuts.items()
+    ]
+    return SQLTransformer(statement=f"select *, {', '.join(bins)} from __THIS__")
+
+
+def cells(binned: DataFrame, keys: Sequence[str], weight: str | None = None) -> DataFrame:
+    """One row with a ``weight`` for each row of a cell, the rows equal in ``keys``; ``CELL_ROWS`` equal ones for a larger cell.
+
+    Trees that cut between bins see nothing but cells, so a fit costs as much as there are cells, however
+    many rows they hold. No row is left out: the weights of a cell sum to those of its rows.
+    """
+    keys = [*keys, *([weight] if weight else [])]
+    counted = binned.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    rows = F.least(F.col("_n"), F.lit(CELL_ROWS).cast("long"))
+    share = (F.col(weight) if weight else F.lit(1.0)) * F.col("_n") / rows
+    spread = stage(counted.select(*[k for k in keys if k != weight], share.alias("weight"), F.explode(F.sequence(F.lit(1), rows)).alias("_i")), "cells")
+    parts = 1 + spread.count() // _CELLS_A_TASK
+    # Dealt and sorted by value, so that draws within a fit do not hang on the order that rows came in.
+    return stage(spread.repartition(parts, *spread.columns).sortWithinPartitions(*spread.columns).drop("_i"), "cells")
+
+
+def preprocessing(scale: bool = False, drop: Sequence[str] = (), binned: bool = False) -> Pipeline:
     """One-hot ‖ numeric ‖ binary into ``features``; unknown categories become all zeros.
 
-    ``scale`` standardises the numeric part, for linear models only.
+    ``scale`` standardises the numeric part, for linear models only; ``binned`` takes bins for numbers.
     """
     cats = [c for c in CATEGORICAL_FEATURES if c not in drop]
-    nums = [c for c in NUMERIC_FEATURES if c not in drop]
+    nums = [f"{c}_bin" if binned else c for c in NUMERIC_FEATURES if c not in drop]
     flags = [c for c in BINARY_FEATURES if c not in drop]
     stages = []
     for c in cats:

@@ -58,7 +58,7 @@ def slot_groups(model: PipelineModel, features: Sequence[str], attributes: dict)
     out = []
     for k in range(attributes["ml_attr"]["num_attrs"]):
         source = max((c for c in inputs if names[k] == c or names[k].startswith(c + "_")), key=len)
-        out.append(features.index(source.removesuffix("_oh")))
+        out.append(features.index(source.removesuffix("_oh").removesuffix("_bin")))
     return out
 
 

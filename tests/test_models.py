@@ -226,3 +226,46 @@ def test_ablation_reports_the_loss(folds, boosted):
         assert out.dropped == f and out.difference == pytest.approx(out.without - out.average_precision)
         moved[f] = out.difference
     assert moved["payment_format"] < -0.01 and abs(moved["same_account"]) < abs(moved["payment_format"]) / 2
+
+
+def test_boosting_fits_cells_of_equal_bins(spark, folds):
+    """A fit sees as many rows as there are cells, however many rows they hold, and all of their weight."""
+    train = prep.add_weight(folds[0], "scale_pos").select("payment_format", "amount_paid", "is_laundering", "weight")
+    tables = []
+    for times in (1, 30, 60):
+        many = train.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(times))))
+        cuts = prep.bin_cuts(many, ["amount_paid"], "weight")
+        assert len(cuts["amount_paid"]) == prep.BINS - 1
+        binned = prep.binning(cuts).transform(many)
+        keys = ["payment_format", "amount_paid_bin", "is_laundering"]
+        table = prep.cells(binned, keys, "weight")
+        want = {r[:3]: r[3:] for r in binned.groupBy(*keys).agg(F.count(F.lit(1)), F.sum("weight")).collect()}
+        got = {r[:3]: r[3:] for r in table.groupBy(*keys).agg(F.count(F.lit(1)), F.sum("weight")).collect()}
+        assert got.keys() == want.keys()
+        for k, (n, weight) in want.items():
+            assert got[k][0] == min(n, prep.CELL_ROWS) and got[k][1] == pytest.approx(weight)
+        heavy = binned.groupBy("amount_paid_bin").agg(F.sum("weight").alias("w")).agg(F.max("w"), F.avg("w")).first()
+        assert heavy[0] < 1.3 * heavy[1]
+        tables.append(table.count())
+    assert tables[1] == tables[2] <= 4 * prep.BINS * 2 * prep.CELL_ROWS
+
+
+def test_boosting_reads_a_table_of_cells(folds, monkeypatch):
+    """Twenty times the rows make no more rows for the trees to pass over."""
+    seen, made = [], md.cells
+    monkeypatch.setattr(md, "cells", lambda *a: seen.append(made(*a)) or seen[-1])
+    rows = folds[0].withColumn("amount_paid", F.round("amount_paid", -2)).withColumn("sender_previous_tx_count", F.lit(0))
+    for times in (20, 40):
+        model = md.fit(rows.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(times)))), md.specs(2)["boosted_weighted"])
+    assert seen[0].count() == seen[1].count() < rows.count()
+    assert md.score_batch(model, folds[1]).filter("risk_score is null").count() == 0
+
+
+def test_bins_part_values_as_trees_do(spark):
+    df = spark.createDataFrame([(1.0, 0), (2.0, 0), (2.0, 1), (4.0, 1), (None, 0), (float("nan"), 1), (float("inf"), 1)], "v double, is_laundering int")
+    cuts = prep.bin_cuts(df, ["v"])
+    assert cuts == {"v": [1.5, 3.0]}
+    got = [(r.v, r.v_bin) for r in prep.binning(cuts).transform(df).collect()]
+    assert [b for _, b in got] == [0.0, 1.0, 1.0, 2.0, None, 2.0, 2.0]
+    assert prep.bin_cuts(df.filter("v is null"), ["v"]) == {"v": []}
+    assert [r.v_bin for r in prep.binning({"v": []}).transform(df.limit(2)).collect()] == [0.0, 0.0]
