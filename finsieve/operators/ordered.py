@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from finsieve.session import stage, stage_bucketed, stage_counted
 
-ROWS_PER_TASK = 2_000_000
+#: Small enough that a slice of wide rows is sorted in memory; a slice that spills moves its rows two more times.
+ROWS_PER_TASK = 250_000
 #: A slice of its own, where there are fewer slices than shuffle partitions.
 WORTH_A_TASK = 50_000
 _SLICE = "_slice"

@@ -102,3 +102,11 @@ def test_quantiles_of_many_groups(spark):
     df = spark.range(100).select((F.col("id") % 10).alias("k"), F.col("id").cast("double").alias("v"))
     got = {r.k: r.quantiles[0] for r in o.exact_quantiles(df, ["k"], "v", (0.5,)).collect()}
     assert got == {k: 45.0 + k for k in range(10)}
+
+
+def test_a_slice_stays_small(spark):
+    """Few shuffle partitions do not make slices that a task cannot sort in memory."""
+    rows = 4_000_000
+    sliced = o._sliced(spark.range(rows), [], [("id", "asc")], rows, o.ROWS_PER_TASK)
+    counts = [r[1] for r in sliced.groupBy(o._SLICE).count().collect()]
+    assert sum(counts) == rows and max(counts) < 1.5 * o.ROWS_PER_TASK <= 400_000

@@ -76,3 +76,16 @@ def test_entry_works_without_the_training_folder(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); print(len(q), any(n.startswith('op') and n[2].isdigit() for n in q), set(e.oracle_sql()) <= set(q))"
     said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True, check=True).stdout.split()
     assert int(said[0]) > 100 and said[1:] == ["False", "True"]
+
+
+def test_ledger_joins_orders_the_same_way_at_every_size(spark, sf, monkeypatch):
+    """Both large tables are dealt by order in as many parts as rows ask for, and not sent whole at small sizes."""
+    want = sorted(map(tuple, views.table(spark, sf, "lineitem").groupBy("l_orderkey").count().collect()))
+    monkeypatch.setattr(views, "JOIN_ROWS", 100)
+    ledger = views._ledger(spark, sf)
+    plan = ledger._jdf.queryExecution().executedPlan().toString()
+    parts = 1 + views.table(spark, sf, "lineitem").count() // 100
+    assert re.search(r"SortMergeJoin \[l_orderkey", plan)
+    assert len(re.findall(rf"hashpartitioning\([lo]_orderkey#\d+L?, {parts}\), REPARTITION_BY_NUM", plan)) == 2
+    got = ledger.groupBy(F.substring("row_id", 1, 12).cast("long").alias("k")).count().collect()
+    assert sorted(map(tuple, got)) == want
