@@ -20,6 +20,9 @@ from finsieve.streaming import jobs, policy
 # --- telemetry --------------------------------------------------------------------
 
 
+FILE_LINES = 250_000
+
+
 def _write_defective(spark: SparkSession, sf: str) -> str:
     """Envelopes of the scored ledger with defects by ``ROW_NUMBER % 97``.
 
@@ -59,8 +62,11 @@ def _write_defective(spark: SparkSession, sf: str) -> str:
         .when(F.col("d") == 11, F.array(F.lit(""), line(data))).otherwise(F.array(line(data)))
     )
     path = new_path(spark, "telemetry")
-    rows.filter("d <> 9").select(F.explode(lines).alias("value")).write.text(f"{path}/inputs")
-    rows.filter("d <> 8").select(src.output_envelope(cid).alias("value")).write.text(f"{path}/outputs")
+    inputs = rows.filter("d <> 9").select(F.explode(lines).alias("value"))
+    outputs = rows.filter("d <> 8").select(src.output_envelope(cid).alias("value"))
+    for name, text in (("inputs", inputs), ("outputs", outputs)):
+        # Envelopes take some ten times their columns' space; a compressed file is read by one task, so files are many.
+        text.write.option("maxRecordsPerFile", FILE_LINES).text(f"{path}/{name}", compression="gzip")
     return path
 
 

@@ -226,3 +226,19 @@ def test_header_is_read_without_the_text(tmp_path, monkeypatch):
     lines = [x for out in ledger._first_lines([batch]) for x in out.column(0).to_pylist()]
     assert lines == ["a,b", long, "a,b", ""]
     assert len(read) <= 1 + len(long) // ledger.HEADER_READ + 1 + 1 + 1
+
+
+def test_defective_envelopes_read_alike_from_many_compressed_files(spark, sf, monkeypatch):
+    """Lines of a request that is sent twice keep their order where a file ends between them."""
+    from finsieve.operators import telemetry as tm
+    from finsieve.plans import catalog_monitoring as cm
+
+    found = []
+    for lines in (1_000_000, 7):
+        monkeypatch.setattr(cm, "FILE_LINES", lines)
+        path = cm._write_defective(spark, sf)
+        files = spark.read.format("binaryFile").load(f"{path}/inputs").select("path").collect()
+        assert files and all(r.path.endswith(".txt.gz") for r in files)
+        pairs = tm.typed_pairs(tm.pair(cm.src.scan_envelopes(spark, path), strict=False))
+        found.append((len(files), sorted(map(str, pairs.collect()))))
+    assert found[0][1] == found[1][1] and found[1][0] > found[0][0]
