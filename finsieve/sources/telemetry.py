@@ -26,10 +26,12 @@ def scan_envelopes(spark: SparkSession, path: str, strict: bool = True) -> DataF
                 F.col("_metadata.file_block_start").alias("block"),
                 F.monotonically_increasing_id().alias("line"),
             ).alias("position"),
-            F.regexp_replace("value", "^\\uFEFF", "").alias("value"),
+            F.when(F.col("value").startswith("\uFEFF"), F.expr("substring(value, 2)")).otherwise(F.col("value")).alias("value"),
         )
         both = lines if both is None else both.unionByName(lines)
-    both = both.filter(F.trim("value") != "").withColumn("v", F.try_parse_json("value"))
+    both = both.filter(F.trim("value") != "")
+    # Parsed as the one element of an array, and the id below too: filters, which Spark moves below projections, would each parse again.
+    both = both.select("collection", "position", "value", F.explode(F.array(F.try_parse_json("value"))).alias("v"))
     # Text that parses and opens with a brace is an object.
     is_object = F.col("v").isNotNull() & F.ltrim("value").startswith("{")
     if strict:
@@ -43,9 +45,9 @@ def scan_envelopes(spark: SparkSession, path: str, strict: bool = True) -> DataF
     items = F.try_variant_get("v", "$.data", "array<variant>")
     row = F.try_variant_get("v", "$.data[0]", "map<string,variant>")
     one = F.size(items) == 1
+    both = both.select("collection", "position", "v", F.explode(F.array(F.when(proper, text))).alias("correlationid"))
     return both.select(
-        "collection", "position",
-        F.when(proper, text).alias("correlationid"),
+        "collection", "position", "correlationid",
         F.when(one, row).alias("row"),
         F.when(one & row.isNotNull(), F.to_json(F.try_variant_get("v", "$.data[0]", "variant"))).alias("row_json"),
     )

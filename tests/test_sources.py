@@ -1,6 +1,7 @@
 """Ledger text, telemetry lines, reports and traffic."""
 
 import json
+import re
 
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
@@ -242,3 +243,10 @@ def test_defective_envelopes_read_alike_from_many_compressed_files(spark, sf, mo
         pairs = tm.typed_pairs(tm.pair(cm.src.scan_envelopes(spark, path), strict=False))
         found.append((len(files), sorted(map(str, pairs.collect()))))
     assert found[0][1] == found[1][1] and found[1][0] > found[0][0]
+
+
+def test_a_line_is_parsed_once(spark, tmp_path):
+    found = tel.scan_envelopes(spark, lines(tmp_path, [env("a", ROW)], [env("a", OUT)]), strict=False)
+    for df in (tm.pair(found, strict=False), tm.pairing_audit(found)):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall("parse_?json", text, re.I)) == 1  # both collections by one expression
