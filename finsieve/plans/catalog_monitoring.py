@@ -378,6 +378,8 @@ def retrain_decision(spark, sf):
 # --- streaming --------------------------------------------------------------------
 
 SLICE_DAYS = 3
+#: Files a slice, at any size: triggers take a number of files, so micro-batches grow with the input and not their number.
+SLICE_FILES = 3
 
 
 def arrivals(spark: SparkSession, df: DataFrame, label: str) -> str:
@@ -388,7 +390,7 @@ def arrivals(spark: SparkSession, df: DataFrame, label: str) -> str:
     while start <= last:
         end = start + timedelta(days=SLICE_DAYS)
         part = df.filter((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end)))
-        part.repartition("row_id").write.mode("append").parquet(path)
+        part.repartition(SLICE_FILES, "row_id").write.mode("append").parquet(path)
         start = end
     return path
 

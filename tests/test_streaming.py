@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from finsieve.operators.features import add_prior_count
+from finsieve.plans.catalog_monitoring import arrivals
 from finsieve.streaming import jobs
 
 SCHEMA = "row_id long, account string, ts timestamp"
@@ -77,3 +78,15 @@ def test_per_minute_emits_closed_windows(spark, tmp_path):
     assert out.agg(F.max("minute")).first()[0].minute == 48 and out.agg(F.sum("requests")).first()[0] == 49 * 3
     first = out.filter("status_class = '2xx'").orderBy("minute").first()
     assert (first.requests, first.latency_mean, first.latency_p50) == (2, 1.5, 1.0)
+
+
+def test_arrivals_are_as_many_files_at_any_size(spark):
+    counts = []
+    for n in (300, 400_000):
+        rows = spark.range(n).select(F.col("id").alias("row_id"), F.expr("timestamp'2024-01-01' + make_interval(0, 0, 0, int(id % 6))").alias("ts"),
+                                     F.expr("concat(md5(string(id)), md5(string(id + 1)), md5(string(id + 2)))").alias("note"))
+        path = arrivals(spark, rows, "arrivals")
+        back = spark.read.parquet(path)
+        assert back.exceptAll(rows).count() == 0 and back.count() == n
+        counts.append(len(back.inputFiles()))
+    assert counts[0] == counts[1]
