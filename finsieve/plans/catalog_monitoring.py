@@ -378,21 +378,26 @@ def retrain_decision(spark, sf):
 # --- streaming --------------------------------------------------------------------
 
 SLICE_DAYS = 3
-#: Files a slice, at any size: triggers take a number of files, so micro-batches grow with the input and not their number.
-SLICE_FILES = 3
+#: Rows of the whole input for one file a slice.
+ROWS_A_FILE = 1_000_000
 
 
-def arrivals(spark: SparkSession, df: DataFrame, label: str) -> str:
-    """Write rows as files in arrival order: one append per few days of event time."""
+def arrivals(spark: SparkSession, df: DataFrame, label: str) -> tuple[str, int]:
+    """Write rows as files in arrival order: one append per few days of event time.
+
+    Returns the folder and the files a slice. Triggers take a number of slices, so micro-batches grow with
+    the input and not their number.
+    """
     path = new_path(spark, label)
-    first, last = df.agg(F.min("ts"), F.max("ts")).first()
+    first, last, rows = df.agg(F.min("ts"), F.max("ts"), F.count(F.lit(1))).first()
+    files = 1 + rows // ROWS_A_FILE
     start = datetime(first.year, first.month, first.day)
     while start <= last:
         end = start + timedelta(days=SLICE_DAYS)
         part = df.filter((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end)))
-        part.repartition(SLICE_FILES, "row_id").write.mode("append").parquet(path)
+        part.repartition(files, "row_id").write.mode("append").parquet(path)
         start = end
-    return path
+    return path, files
 
 
 @query("stream_per_minute", REQ + """
@@ -403,8 +408,8 @@ where minute + interval 1 minute <= (select max(ts) from rq) - interval 10 minut
 def stream_per_minute(spark, sf):
     """Windows the watermark has closed; the last minutes stay open."""
     events = requests(prepared(spark, sf, "events")).withColumn("row_id", F.monotonically_increasing_id())
-    path, out = arrivals(spark, events, "requests"), new_path(spark, "minutes")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    (path, files), out = arrivals(spark, events, "requests"), new_path(spark, "minutes")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2 * files).parquet(path)
     per_minute = jobs.per_minute_stream(stream, delay="10 minutes")
     sink = per_minute.writeStream.format("parquet").option("path", out)
     sink.option("checkpointLocation", new_path(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
@@ -415,9 +420,9 @@ def stream_per_minute(spark, sf):
 def stream_prev_count(spark, sf):
     """The prior count over a stream of all events, closed by a final flush."""
     events = prepared(spark, sf, "events")
-    path = arrivals(spark, events, "payments")
+    path, files = arrivals(spark, events, "payments")
     state = jobs.PriorCountState(spark, new_path(spark, "prior-count"), compact_every=4)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 3).parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 3 * files).parquet(path)
     run = jobs.prior_count_stream(stream, state, new_path(spark, "checkpoint"), delay="7 days")
     run.awaitTermination()
     batches = run.lastProgress["batchId"] + 1 if run.lastProgress else 0
@@ -430,8 +435,8 @@ select cast(ts as date) as event_date, hour as event_hour, count(*) as n, count(
 def stream_score(spark, sf):
     """Score all events as a stream and count the paired records by event hour."""
     rows = prepared(spark, sf, "event_features")
-    path, out = arrivals(spark, rows, "features"), new_path(spark, "collected")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 10).parquet(path)
+    (path, files), out = arrivals(spark, rows, "features"), new_path(spark, "collected")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 10 * files).parquet(path)
     run = jobs.score_stream(
         stream, lambda batch: md.with_contract(batch, rule_score("rule_a"), THRESHOLD), out, new_path(spark, "checkpoint")
     )

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from finsieve.operators.features import add_prior_count
-from finsieve.plans.catalog_monitoring import arrivals
+from finsieve.plans import catalog_monitoring
 from finsieve.streaming import jobs
 
 SCHEMA = "row_id long, account string, ts timestamp"
@@ -80,13 +80,12 @@ def test_per_minute_emits_closed_windows(spark, tmp_path):
     assert (first.requests, first.latency_mean, first.latency_p50) == (2, 1.5, 1.0)
 
 
-def test_arrivals_are_as_many_files_at_any_size(spark):
-    counts = []
-    for n in (300, 400_000):
+def test_slices_are_as_many_files_as_triggers_count(spark, monkeypatch):
+    for n, most, want in ((300, 1_000_000, 1), (400_000, 1_000_000, 1), (400_000, 100_000, 5)):
+        monkeypatch.setattr(catalog_monitoring, "ROWS_A_FILE", most)
         rows = spark.range(n).select(F.col("id").alias("row_id"), F.expr("timestamp'2024-01-01' + make_interval(0, 0, 0, int(id % 6))").alias("ts"),
                                      F.expr("concat(md5(string(id)), md5(string(id + 1)), md5(string(id + 2)))").alias("note"))
-        path = arrivals(spark, rows, "arrivals")
+        path, files = catalog_monitoring.arrivals(spark, rows, "arrivals")
         back = spark.read.parquet(path)
         assert back.exceptAll(rows).count() == 0 and back.count() == n
-        counts.append(len(back.inputFiles()))
-    assert counts[0] == counts[1]
+        assert files == want and len(back.inputFiles()) == 2 * files  # two slices of three days
