@@ -7,12 +7,14 @@ from typing import NamedTuple
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from finsieve.constants import MODEL_FEATURES, MODEL_VERSION, NUMERIC_FEATURES, SEED, SERVING_THRESHOLD, TARGET
 from finsieve.operators.prep import add_weight, bin_cuts, binning, cells, preprocessing, undersample
 from finsieve.operators.ranking import average_precision
+from finsieve.session import cut_lineage, stage
 
 BOOSTING_ROUNDS = 200
 
@@ -90,6 +92,7 @@ def fit(train: DataFrame, spec: Spec, drop: Sequence[str] = ()) -> PipelineModel
         binned = binning(bin_cuts(train, numbers, weight))
         table = cells(binned.transform(train), [*(f"{c}_bin" if c in numbers else c for c in columns), TARGET], weight)
         prepared = preprocessing(drop=drop, binned=True).fit(table)
+        cut_lineage(train.sparkSession)
         classifier = spec.estimator(0, True).fit(prepared.transform(table))
         return PipelineModel(stages=[binned, *prepared.stages, classifier])
     prepared = preprocessing(spec.scale, drop).fit(train)
@@ -102,6 +105,23 @@ def _probability() -> Column:
     return vector_to_array("probability")[1]
 
 
+def _with_score(model: Transformer, df: DataFrame) -> DataFrame:
+    """Add ``_score``. A model over bins sees nothing but cells, so each cell that occurs is scored once and its rows look it up.
+
+    Hundreds of trees then cost as much as there are cells, however many rows they hold.
+    """
+    if df.isStreaming or not (isinstance(model, PipelineModel) and isinstance(model.stages[0], SQLTransformer)):
+        return model.transform(df).withColumn("_score", _probability())
+    binned = model.stages[0].transform(df)
+    inputs = next(s for s in reversed(model.stages) if isinstance(s, VectorAssembler)).getInputCols()
+    keys = [c.removesuffix("_oh") for c in inputs]
+    scores = PipelineModel(stages=model.stages[1:]).transform(binned.select(*keys).distinct())
+    # Written, so that Spark knows the table's size when it picks the join.
+    scores = stage(scores.select(*[F.col(k).alias(f"_k_{k}") for k in keys], _probability().alias("_score")), "cell-scores")
+    same = [binned[k].eqNullSafe(scores[f"_k_{k}"]) for k in keys]
+    return binned.join(scores, same, "left").select(*df.columns, "_score")
+
+
 def require_features(df: DataFrame, needed: Sequence[str] = MODEL_FEATURES) -> None:
     missing = [c for c in needed if c not in df.columns]
     if missing:
@@ -126,14 +146,12 @@ def score_batch(model: Transformer, df: DataFrame, threshold: float = SERVING_TH
     """Features in, contract out, next to ``keep``. Extra columns are ignored."""
     require_features(df)
     source = df.select(*dict.fromkeys([*keep, *MODEL_FEATURES]))
-    return with_contract(model.transform(source), _probability(), threshold, version).select(*keep, *OUTPUT_CONTRACT)
+    return with_contract(_with_score(model, source), F.col("_score"), threshold, version).select(*keep, *OUTPUT_CONTRACT)
 
 
 def scored(model: Transformer, df: DataFrame, name: str) -> DataFrame:
     """Evaluation rows (model, row_id, label, score)."""
-    return model.transform(df).select(
-        F.lit(name).alias("model"), "row_id", F.col(TARGET).alias("label"), _probability().alias("score")
-    )
+    return _with_score(model, df).select(F.lit(name).alias("model"), "row_id", F.col(TARGET).alias("label"), F.col("_score").alias("score"))
 
 
 def majority_scored(df: DataFrame, name: str = "majority") -> DataFrame:

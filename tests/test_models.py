@@ -269,3 +269,24 @@ def test_bins_part_values_as_trees_do(spark):
     assert [b for _, b in got] == [0.0, 1.0, 1.0, 2.0, None, 2.0, 2.0]
     assert prep.bin_cuts(df.filter("v is null"), ["v"]) == {"v": []}
     assert [r.v_bin for r in prep.binning({"v": []}).transform(df.limit(2)).collect()] == [0.0, 0.0]
+
+
+def test_rounds_of_boosting_are_checkpointed(spark, folds, monkeypatch, tmp_path):
+    """A session without a folder gets one, or tasks of late rounds would carry all rounds before."""
+    made = []
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: made[-1] if made else None)
+    monkeypatch.setattr(type(spark.sparkContext), "setCheckpointDir", lambda self, path: made.append(path))
+    md.fit(folds[0].limit(2000), md.specs(1)["boosted_weighted"])
+    assert len(made) == 1 and made[0].endswith("/rounds")
+
+
+def test_a_model_over_bins_scores_each_cell_once(folds, boosted, monkeypatch):
+    """Trees pass over the cells that occur, not over rows; scores are those of the model itself."""
+    few = folds[1].withColumn("sender_previous_tx_count", F.lit(0))
+    rows = few.unionByName(few.limit(3).withColumn("payment_format", F.lit(None).cast("string")).withColumn("row_id", -F.col("row_id") - 1))
+    seen, made = [], md.stage
+    monkeypatch.setattr(md, "stage", lambda *a: seen.append(made(*a)) or seen[-1])
+    out = {r.row_id: r.risk_score for r in md.score_batch(boosted, rows).collect()}
+    assert len(seen) == 1 and seen[0].count() < rows.count() / 10
+    want = boosted.transform(rows).select("row_id", "probability").collect()
+    assert out == {r.row_id: r.probability[1] for r in want} and len(out) == rows.count()
