@@ -12,41 +12,67 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from finsieve.constants import TELEMETRY_INPUT_FIELDS, TELEMETRY_OUTPUT_FIELDS
 from finsieve.operators.ordered import exact_quantiles
-from finsieve.session import stage
 
 
 def _field_set(names: Sequence[str]) -> Column:
     return F.array(*[F.lit(n) for n in sorted(names)])
 
 
-def per_id(records: DataFrame) -> DataFrame:
-    """(collection, correlationid, records, invalid_shapes, schema_mismatches): one row per id, the missing id too.
+def _key() -> Column:
+    """The id for a shuffle: hexadecimal text, as ids mostly are, as the bytes that it spells, other text as it is."""
+    spelt = F.unhex("correlationid")
+    return F.when(F.lower(F.hex(spelt)) == F.col("correlationid"), F.concat(F.lit(b"\x01"), spelt)).otherwise(
+        F.concat(F.lit(b"\x00"), F.col("correlationid").cast("binary"))
+    )
 
-    All checks read this table, so the text is parsed once; a much repeated id is counted
-    before the shuffle and costs nothing.
-    """
+
+def _id(key: str) -> Column:
+    """The id of a ``_key``."""
+    rest = F.expr(f"substr({key}, 2)")
+    return F.when(F.expr(f"substr({key}, 1, 1)") == F.lit(b"\x01"), F.lower(F.hex(rest))).otherwise(rest.cast("string"))
+
+
+def _wrong_fields() -> Column:
     expected = F.when(F.col("collection") == "inputs", _field_set(TELEMETRY_INPUT_FIELDS)).otherwise(
         _field_set(TELEMETRY_OUTPUT_FIELDS)
     )
-    return records.groupBy("collection", "correlationid").agg(
+    return F.col("row").isNotNull() & (F.array_sort(F.map_keys("row")) != expected)
+
+
+def per_id(records: DataFrame) -> DataFrame:
+    """(collection, correlationid, records, invalid_shapes, schema_mismatches): one row per id, the missing id too.
+
+    A much repeated id is counted before the shuffle and costs nothing.
+    """
+    counted = records.groupBy("collection", _key().alias("_key")).agg(
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col("row").isNull()).alias("invalid_shapes"),
-        F.count_if(F.col("row").isNotNull() & (F.array_sort(F.map_keys("row")) != expected)).alias("schema_mismatches"),
+        F.count_if(_wrong_fields()).alias("schema_mismatches"),
     )
+    return counted.select("collection", _id("_key").alias("correlationid"), "records", "invalid_shapes", "schema_mismatches")
 
 
-def audit(records: DataFrame) -> DataFrame:
-    """Per collection: records, ids, duplicate ids, broken shapes and wrong field sets."""
-    return _audit(per_id(records))
+def per_request(records: DataFrame) -> DataFrame:
+    """(correlationid, and per side its records, invalid_shapes and schema_mismatches): one row per id, the missing id too.
+
+    One shuffle by id serves both the counts of a side and the match of the sides.
+    """
+    counts = {"records": F.lit(True), "invalid_shapes": F.col("row").isNull(), "schema_mismatches": _wrong_fields()}
+    names = [f"{side}_{c}" for side in ("inputs", "outputs") for c in counts]
+    counted = records.groupBy(_key().alias("_key")).agg(*[
+        F.count_if((F.col("collection") == side) & rows).alias(f"{side}_{c}") for side in ("inputs", "outputs") for c, rows in counts.items()
+    ])
+    return counted.select(_id("_key").alias("correlationid"), *names)
 
 
-def _audit(ids: DataFrame) -> DataFrame:
+def audit(records: DataFrame) -> DataFrame:
+    """Per collection: records, ids, duplicate ids, broken shapes and wrong field sets."""
     known = F.col("correlationid").isNotNull()
 
     def total(column: str, rows: Column = F.lit(True)) -> Column:
         return F.coalesce(F.sum(F.when(rows, F.col(column))), F.lit(0)).alias(column)
 
-    return ids.groupBy("collection").agg(
+    return per_id(records).groupBy("collection").agg(
         total("records"), total("records", known).alias("valid_ids"), total("records", ~known).alias("missing_ids"),
         total("invalid_shapes"), total("schema_mismatches"), F.count_if(known & (F.col("records") > 1)).alias("duplicate_ids"),
     )
@@ -54,24 +80,19 @@ def _audit(ids: DataFrame) -> DataFrame:
 
 def pairing_audit(records: DataFrame) -> DataFrame:
     """Distinct ids on both sides, on the input side only and on the output side only."""
-    return _pairing(per_id(records))
+    return per_request(records).agg(*[n.alias(name) for name, n in _pairing().items()])
 
 
-def _pairing(ids: DataFrame) -> DataFrame:
-    sides = ids.filter(F.col("correlationid").isNotNull()).groupBy("correlationid").agg(
-        F.max(F.col("collection") == "inputs").alias("i"), F.max(F.col("collection") == "outputs").alias("o")
-    )
-    return sides.agg(
-        F.count_if(F.col("i") & F.col("o")).alias("matched"),
-        F.count_if(F.col("i") & ~F.col("o")).alias("input_only"),
-        F.count_if(F.col("o") & ~F.col("i")).alias("output_only"),
-    )
+def _pairing() -> dict[str, Column]:
+    """Counts of matched and one-sided ids over ``per_request``."""
+    known, i, o = F.col("correlationid").isNotNull(), F.col("inputs_records") > 0, F.col("outputs_records") > 0
+    return {"matched": F.count_if(known & i & o), "input_only": F.count_if(known & i & ~o), "output_only": F.count_if(known & o & ~i)}
 
 
 def pair(records: DataFrame, strict: bool = True) -> DataFrame:
     """Inputs and outputs of each id; the last record of an id wins.
 
-    One shuffle serves both the last-record rule and the full outer match. In strict
+    One shuffle serves both the last-record rule and the full outer match; ids are packed for it. In strict
     mode a one-sided id or an invalid record fails the job; otherwise such rows drop out.
     """
     broken = F.col("correlationid").isNull() | F.col("row").isNull()
@@ -84,7 +105,8 @@ def pair(records: DataFrame, strict: bool = True) -> DataFrame:
     def last(side: str) -> Column:
         return F.max_by("row_json", F.when(F.col("collection") == side, F.col("position")))
 
-    both = records.groupBy("correlationid").agg(last("inputs").alias("input"), last("outputs").alias("output"))
+    both = records.groupBy(_key().alias("_key")).agg(last("inputs").alias("input"), last("outputs").alias("output"))
+    both = both.select(_id("_key").alias("correlationid"), "input", "output")
     one_sided = F.col("input").isNull() | F.col("output").isNull()
     if not strict:
         return both.filter(~one_sided)
@@ -108,20 +130,15 @@ def typed_pairs(pairs: DataFrame) -> DataFrame:
 
 def acceptance_checks(records: DataFrame) -> DataFrame:
     """The ten acceptance checks in one row, the failing names, and PASS or FAIL."""
-    counts = {
-        side: ("records", "duplicate_ids", "missing_ids", "invalid_shapes", "schema_mismatches")
-        for side in ("inputs", "outputs")
-    }
-    counts["pairs"] = ("input_only", "output_only")
-    ids = stage(per_id(records), "ids")
-    found = _audit(ids).unionByName(_pairing(ids).withColumn("collection", F.lit("pairs")), allowMissingColumns=True)
-    row = found.groupBy().agg(*[
-        F.coalesce(F.max(F.when(F.col("collection") == side, F.col(c))), F.lit(0)).alias(
-            c if side == "pairs" else f"{side}_{c}"
-        )
-        for side, names in counts.items() for c in names
-    ])
-    c = F.col
+    c, known = F.col, F.col("correlationid").isNotNull()
+    counts = _pairing()
+    for side in ("inputs", "outputs"):
+        n = c(f"{side}_records")
+        counts[f"{side}_duplicate_ids"] = F.count_if(known & (n > 1))
+        counts[f"{side}_missing_ids"] = F.coalesce(F.sum(F.when(~known, n)), F.lit(0))
+        for name in ("records", "invalid_shapes", "schema_mismatches"):
+            counts[f"{side}_{name}"] = F.coalesce(F.sum(f"{side}_{name}"), F.lit(0))
+    row = per_request(records).agg(*[n.alias(name) for name, n in counts.items()])
 
     def clean(side: str) -> Column:
         return (c(f"{side}_invalid_shapes") == 0) & (c(f"{side}_schema_mismatches") == 0)

@@ -12,7 +12,7 @@ from finsieve.plans.registry import EV, EVF, FEAT, THRESHOLD, points, query
 from finsieve.plans.views import (
     DRIFT_CUT, MISSING_DAY, ROW_NUMBER, SHIFT_FROM, SHIFT_TO, drift_current, drift_reference, features, prepared, rule_score, scored,
 )
-from finsieve.session import new_path, stage
+from finsieve.session import freeing, new_path, stage
 from finsieve.sources import telemetry as src
 from finsieve.streaming import jobs, policy
 
@@ -66,7 +66,8 @@ def _write_defective(spark: SparkSession, sf: str) -> str:
     outputs = rows.filter("d <> 8").select(src.output_envelope(cid).alias("value"))
     for name, text in (("inputs", inputs), ("outputs", outputs)):
         # Envelopes take some ten times their columns' space; a compressed file is read by one task, so files are many.
-        text.write.option("maxRecordsPerFile", FILE_LINES).text(f"{path}/{name}", compression="gzip")
+        with freeing(spark):
+            text.write.option("maxRecordsPerFile", FILE_LINES).text(f"{path}/{name}", compression="gzip")
     return path
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finsieve.operators.features import build_features
-from finsieve.session import COMPRESSION, new_path
+from finsieve.session import COMPRESSION, drop, freeing, made, new_path
 
 EVENTS_SQL = """
 select event_id as row_id, cast(ts as timestamp) as ts,
@@ -100,12 +100,16 @@ def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prepared(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A named view, written once per application."""
+    """A named view, written once per application; tables staged on the way to it are deleted then."""
     key = (spark.sparkContext.applicationId, str(sf_dir), name)
     if key not in _PREPARED:
+        before = set(made(spark))
         path = new_path(spark, name)
-        _BUILD[name](spark, sf_dir).write.parquet(path, compression=COMPRESSION)
+        rows = _BUILD[name](spark, sf_dir)
+        with freeing(spark):
+            rows.write.parquet(path, compression=COMPRESSION)
         _PREPARED[key] = path
+        drop(spark, [p for p in made(spark) if p not in before and p not in _PREPARED.values()])
     return spark.read.parquet(_PREPARED[key])
 
 

@@ -250,3 +250,45 @@ def test_a_line_is_parsed_once(spark, tmp_path):
     for df in (tm.pair(found, strict=False), tm.pairing_audit(found)):
         text = df._jdf.queryExecution().optimizedPlan().toString()
         assert len(re.findall("parse_?json", text, re.I)) == 1  # both collections by one expression
+
+
+IDS = ["ab", "AB", "abc", "0a\n", "é", "00", "0", "deadbeef", "x01", "ab "]
+
+
+def test_ids_of_any_text_stay_apart_where_they_are_packed(spark, tmp_path):
+    found = tel.scan_envelopes(spark, lines(tmp_path, [env(i, ROW) for i in [*IDS, "ab"]], [env(i, OUT) for i in IDS[1:]]))
+    assert {r.correlationid for r in tm.pair(found, strict=False).collect()} == set(IDS[1:])
+    assert {r.correlationid: r.records for r in tm.per_id(found).filter("collection = 'inputs'").collect()} == {i: 2 if i == "ab" else 1 for i in IDS}
+    assert tuple(tm.pairing_audit(found).first()) == (len(IDS) - 1, 1, 0)
+    assert tm.audit(found).filter("collection = 'inputs'").first().duplicate_ids == 1
+
+
+def test_checks_move_each_record_once_by_a_packed_id(spark, tmp_path):
+    from finsieve.session import made
+
+    found = tel.scan_envelopes(spark, lines(tmp_path, [env("a", ROW)], [env("a", OUT)]))
+    before = list(made(spark))
+    for df in (tm.acceptance_checks(found), tm.pairing_audit(found), tm.pair(found)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert re.findall(r"hashpartitioning\((\w+)#", plan.split("Initial Plan")[0]) == ["_key"]
+    assert made(spark) == before
+
+
+def test_written_tables_leave_no_shuffle_files_and_no_steps(spark, sf, monkeypatch):
+    import time
+
+    from finsieve.plans import views
+    from finsieve.session import made, stage
+
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = disk.getAllFiles().size()
+    stage(spark.range(1000).repartition(7, "id"))
+    for _ in range(100):
+        if disk.getAllFiles().size() <= before:
+            break
+        time.sleep(0.1)
+    assert disk.getAllFiles().size() <= before
+    monkeypatch.setattr(views, "_PREPARED", {})
+    known = set(made(spark))
+    assert views.features(spark, sf).count() > 0
+    assert sorted(p.rsplit("/", 1)[1].split("-")[0] for p in set(made(spark)) - known) == ["features", "ledger"]
