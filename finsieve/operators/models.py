@@ -12,11 +12,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from finsieve.constants import MODEL_FEATURES, MODEL_VERSION, NUMERIC_FEATURES, SEED, SERVING_THRESHOLD, TARGET
-from finsieve.operators.prep import add_weight, bin_cuts, binning, cells, preprocessing, undersample
+from finsieve.operators.prep import CELL_ROWS, add_weight, bin_cuts, binning, cells, preprocessing, undersample
 from finsieve.operators.ranking import average_precision
 from finsieve.session import cut_lineage, stage
 
 BOOSTING_ROUNDS = 200
+#: Rows that stand for a cell of more rows in a forest: its trees draw a quarter and ask for 20 of them in a node.
+FOREST_ROWS = 160
 
 
 class MissingFeatureError(ValueError):
@@ -24,13 +26,13 @@ class MissingFeatureError(ValueError):
 
 
 class Spec(NamedTuple):
-    """How a model is trained: estimator, class weighting, linear scaling, undersampling, on rows or on cells of equal bins."""
+    """How a model is trained: estimator, class weighting, linear scaling, undersampling, on rows or on cells of equal bins, of so many rows at most."""
 
     estimator: Callable[[int, bool], object]
     weight: str | None = None
     scale: bool = False
     under: bool = False
-    cells: bool = False
+    cells: int = 0
 
 
 def _logistic(rows: int, weighted: bool) -> LogisticRegression:
@@ -65,9 +67,9 @@ def specs(rounds: int = BOOSTING_ROUNDS) -> dict[str, Spec]:
     return {
         "logistic_balanced": Spec(_logistic, weight="balanced", scale=True),
         "logistic_plain": Spec(_logistic, scale=True),
-        "random_forest": Spec(_forest, weight="balanced"),
-        "boosted_weighted": Spec(boosted(rounds), weight="scale_pos", cells=True),
-        "boosted_undersampled": Spec(boosted(rounds), under=True, cells=True),
+        "random_forest": Spec(_forest, weight="balanced", cells=FOREST_ROWS),
+        "boosted_weighted": Spec(boosted(rounds), weight="scale_pos", cells=CELL_ROWS),
+        "boosted_undersampled": Spec(boosted(rounds), under=True, cells=CELL_ROWS),
     }
 
 
@@ -77,7 +79,8 @@ SELECTED = "boosted_weighted"
 def fit(train: DataFrame, spec: Spec, drop: Sequence[str] = ()) -> PipelineModel:
     """Fit preprocessing and classifier on the train fold, after any undersampling.
 
-    Two hundred rounds of boosting pass over their table some thousand times, so it holds cells and not rows.
+    Two hundred rounds of boosting pass over their table some thousand times, and a forest keeps a count for each row
+    and tree, so their table holds cells and not rows.
     """
     if spec.under:
         train = undersample(train)
@@ -90,7 +93,7 @@ def fit(train: DataFrame, spec: Spec, drop: Sequence[str] = ()) -> PipelineModel
         weight = "weight" if spec.weight else None
         numbers = [c for c in NUMERIC_FEATURES if c in columns]
         binned = binning(bin_cuts(train, numbers, weight))
-        table = cells(binned.transform(train), [*(f"{c}_bin" if c in numbers else c for c in columns), TARGET], weight)
+        table = cells(binned.transform(train), [*(f"{c}_bin" if c in numbers else c for c in columns), TARGET], weight, spec.cells)
         prepared = preprocessing(drop=drop, binned=True).fit(table)
         cut_lineage(train.sparkSession)
         classifier = spec.estimator(0, True).fit(prepared.transform(table))

@@ -166,15 +166,15 @@ def binning(cuts: dict[str, list[float]]) -> SQLTransformer:
     return SQLTransformer(statement=f"select *, {', '.join(bins)} from __THIS__")
 
 
-def cells(binned: DataFrame, keys: Sequence[str], weight: str | None = None) -> DataFrame:
-    """One row with a ``weight`` for each row of a cell, the rows equal in ``keys``; ``CELL_ROWS`` equal ones for a larger cell.
+def cells(binned: DataFrame, keys: Sequence[str], weight: str | None = None, most: int = CELL_ROWS) -> DataFrame:
+    """One row with a ``weight`` for each row of a cell, the rows equal in ``keys``; ``most`` equal ones for a larger cell.
 
     Trees that cut between bins see nothing but cells, so a fit costs as much as there are cells, however
     many rows they hold. No row is left out: the weights of a cell sum to those of its rows.
     """
     keys = [*keys, *([weight] if weight else [])]
     counted = binned.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    rows = F.least(F.col("_n"), F.lit(CELL_ROWS).cast("long"))
+    rows = F.least(F.col("_n"), F.lit(most).cast("long"))
     share = (F.col(weight) if weight else F.lit(1.0)) * F.col("_n") / rows
     spread = stage(counted.select(*[k for k in keys if k != weight], share.alias("weight"), F.explode(F.sequence(F.lit(1), rows)).alias("_i")), "cells")
     parts = 1 + spread.count() // _CELLS_A_TASK
