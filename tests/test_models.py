@@ -290,3 +290,26 @@ def test_a_model_over_bins_scores_each_cell_once(folds, boosted, monkeypatch):
     assert len(seen) == 1 and seen[0].count() < rows.count() / 10
     want = boosted.transform(rows).select("row_id", "probability").collect()
     assert out == {r.row_id: r.probability[1] for r in want} and len(out) == rows.count()
+
+
+def test_a_forest_is_fitted_on_cells(spark, folds):
+    from pyspark.ml.feature import SQLTransformer
+
+    spec = md.specs(1)["random_forest"]
+    few = spec._replace(estimator=lambda rows, weighted: spec.estimator(rows, weighted).setNumTrees(5).setMaxDepth(4))
+    rows = folds[0].limit(3000)
+    model = md.fit(rows, few)
+    assert isinstance(model.stages[0], SQLTransformer) and spec.cells * 0.25 > 20
+    out = md.scored(model, rows, "forest").agg(F.count("score").alias("n"), F.min("score").alias("low"), F.max("score").alias("high")).first()
+    assert out.n == 3000 and 0 <= out.low < out.high <= 1
+
+
+def test_models_are_fitted_side_by_side(spark, sf, monkeypatch):
+    from threading import Barrier
+
+    from finsieve.plans import catalog_ranking as cr
+
+    together = Barrier(len(md.specs()), timeout=60)
+    monkeypatch.setattr(cr, "fitted", lambda spark, sf, name: together.wait() * 0)
+    monkeypatch.setattr(md, "scored", lambda model, df, name: md.majority_scored(df, name))
+    assert cr.model_comparison(spark, sf).count() == 1 + len(md.specs())
